@@ -8,6 +8,7 @@ list stays a table and is matched by an equi-join on word beginnings.
 from __future__ import annotations
 
 from collections.abc import Iterable
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -87,23 +88,16 @@ def _semi_join_contains(df: DataFrame, text_col: str, words: DataFrame) -> DataF
     """
     words = words.toDF("word").filter("word is not null").distinct()
     words = words.withColumn("head", F.substring("word", 1, KEY_CHARS))
-    lengths = [r[0] for r in words.select(F.length("head")).distinct().collect()]
+    lengths = [r[0] for r in words.select(F.length("head")).distinct().collect() if r[0]]
     text_id = F.md5(F.lower(F.col(text_col)))
     texts = df.select(text_id.alias("text_id"), F.lower(text_col).alias("low")).distinct()
-    heads = [
-        F.transform(
-            F.sequence(F.lit(1), F.length("low") - F.lit(n - 1)),
-            lambda i, n=n: F.substring(F.col("low"), i, F.lit(n)),
-        )
-        for n in lengths
-        if n > 0
-    ]
-    keyed = None
-    for n, head in zip([n for n in lengths if n > 0], heads):
-        part = texts.filter(F.length("low") >= n).select(
-            "text_id", F.explode(F.array_distinct(head)).alias("head")
-        )
-        keyed = part if keyed is None else keyed.unionByName(part)
+
+    def runs(size: int) -> DataFrame:
+        # the look-ahead takes nothing, so one pass yields the run at every position
+        heads = F.regexp_extract_all("low", F.lit(f"(?s)(?=(.{{{size}}}))"), 1)
+        return texts.select("text_id", F.explode(F.array_distinct(heads)).alias("head"))
+
+    keyed = reduce(DataFrame.unionByName, [runs(n) for n in lengths])
     hits = (
         keyed.join(words, "head")
         .join(texts, "text_id")

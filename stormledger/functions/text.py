@@ -22,7 +22,6 @@ DOT_RUN_PATTERN = rf"(?U)(?:\.{WS}*){{3,}}"
 NON_ASCII_PATTERN = r"[^\x00-\x7F]"
 BOILERPLATE_PATTERN = r"(?i)(?:shared a post|see more|commented|replied)"
 PLACEHOLDER_PATTERN = rf"(?iU)\A{WS}*(?:nan|none)?{WS}*\z"
-ONLY_DOTS_PATTERN = r"\A[. ]+\z"
 ONLY_NUMBERS_PATTERN = rf"\A(?:[0-9:/.-]|{WS}){{6,}}\z"
 MIN_CLEAN_CHARS = 90
 
@@ -54,7 +53,7 @@ def fold_unicode(col: Column) -> Column:
 
 
 def blank_placeholders(col: Column) -> Column:
-    return F.when(col.isNull() | col.rlike(PLACEHOLDER_PATTERN), "").otherwise(col)
+    return F.coalesce(F.regexp_replace(col, PLACEHOLDER_PATTERN, ""), F.lit(""))
 
 
 def strip_urls(col: Column) -> Column:
@@ -98,12 +97,15 @@ def strip_boilerplate(col: Column) -> Column:
     return F.regexp_replace(col, BOILERPLATE_PATTERN, "")
 
 
+# The gates replace a whole rejected text, so they read their input once; a
+# conditional would repeat the chain of stages in every branch.
 def quality_gate(col: Column, min_len: int = MIN_CLEAN_CHARS) -> Column:
-    return F.when((F.char_length(col) < min_len) | col.rlike(ONLY_DOTS_PATTERN), "").otherwise(col)
+    """Too short, or nothing but dots and spaces, becomes ``""``."""
+    return F.regexp_replace(col, rf"(?s)\A(?:.{{0,{max(min_len - 1, 0)}}}|[. ]+)\z", "")
 
 
 def numeric_gate(col: Column) -> Column:
-    return F.when(col.rlike(ONLY_NUMBERS_PATTERN), "").otherwise(col)
+    return F.regexp_replace(col, ONLY_NUMBERS_PATTERN, "")
 
 
 def clean_text(col: Column, min_len: int = MIN_CLEAN_CHARS) -> Column:

@@ -36,10 +36,10 @@ def mentions_location(
 
 def display_name(handle: Column, names: Mapping[str, str]) -> Column:
     """Known handles get their display name; hashtags and others stay as they are."""
-    table = F.create_map(*[F.lit(v) for pair in names.items() for v in pair])
-    return F.when(handle.startswith("#"), handle).otherwise(
-        F.coalesce(F.try_element_at(table, handle), handle)
-    )
+    table = F.create_map(*[
+        F.lit(v) for pair in names.items() if not pair[0].startswith("#") for v in pair
+    ])
+    return F.coalesce(F.try_element_at(table, handle), handle)
 
 
 def page_source(
