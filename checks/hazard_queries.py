@@ -40,17 +40,13 @@ def _escape(word: str) -> str:
 
 
 def sql_hits(source: str, key: str, dictionary) -> str:
-    """``(key, label, lpos, kpos, kw)`` of every keyword found in ``text``."""
-    rows = ", ".join(
-        f"({lit(label)}, {i}, {j}, {lit(kw)}, "
-        f"{lit(f'(^|{_EDGE}){_escape(kw)}(s|es|ing|ed)?($|{_EDGE})')})"
+    """``(key, label, lpos, kpos, kw)`` of every keyword found in ``text``; one pattern per branch."""
+    found = " UNION ALL ".join(
+        f"SELECT {key}, {lit(label)} AS label, {i} AS lpos, {j} AS kpos, {lit(kw)} AS kw FROM low "
+        f"WHERE contains(t, {lit(kw)}) AND regexp_matches(t, {lit(f'(^|{_EDGE}){_escape(kw)}(s|es|ing|ed)?($|{_EDGE})')})"
         for i, (label, kws) in enumerate(dictionary.items()) for j, kw in enumerate(kws)
     )
-    return (
-        f"SELECT s.{key}, k.label, k.lpos, k.kpos, k.kw FROM ({source}) s, "
-        f"(VALUES {rows}) k(label, lpos, kpos, kw, pattern) "
-        "WHERE contains(lower(s.text), k.kw) AND regexp_matches(lower(s.text), k.pattern)"
-    )
+    return f"WITH low AS MATERIALIZED (SELECT {key}, lower(text) AS t FROM ({source})) {found}"
 
 
 def sql_rendered(source: str, key: str, dictionary) -> str:

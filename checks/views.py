@@ -242,13 +242,16 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def texts(spark: SparkSession, sf_dir: str, name: str = "documents") -> DataFrame:
-    """A text table spread over the cores when its files alone would not fill them."""
-    df = table(spark, sf_dir, name)
-    cores = spark.sparkContext.defaultParallelism
+def spread(df: DataFrame) -> DataFrame:
+    """Rows spread over the cores when the files alone would not fill them."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
     return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
 
 
+def texts(spark: SparkSession, sf_dir: str, name: str = "documents") -> DataFrame:
+    return spread(table(spark, sf_dir, name))
+
+
 def view(spark: SparkSession, sf_dir: str, sql: str) -> DataFrame:
     """A derived view on Spark; table names in the text become the given tables."""
     import re
@@ -261,7 +264,7 @@ def view(spark: SparkSession, sf_dir: str, sql: str) -> DataFrame:
 
 
 def posts(spark, sf_dir):
-    return view(spark, sf_dir, POSTS)
+    return spread(view(spark, sf_dir, POSTS))
 
 
 def spans(spark, sf_dir):

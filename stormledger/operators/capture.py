@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from stormledger import dictionaries as D
 from stormledger.functions import text as X
+from stormledger.functions.columns import add_once, let
 from stormledger.functions.matching import contains_any, filter_contains_any
 
 _EPOCH = "timestamp_ntz'1970-01-01 00:00:00'"
@@ -23,23 +24,23 @@ def caption(blocks: Column) -> Column:
 
 def cut_comment_tail(text: Column, patterns: Sequence[str] = tuple(D.COMMENT_PATTERNS)) -> Column:
     """Lines before the first one that looks like a comment, joined by spaces."""
+    def before_tail(lines: Column) -> Column:
+        is_tail = F.transform(
+            lines,
+            lambda line: reduce(
+                lambda a, b: a | b,
+                [X.strip_ends(F.lower(line)).rlike(rf"(?U){p}") for p in patterns],
+            ),
+        )
+        stop = F.array_position(is_tail, True).cast("int")
+        return F.slice(lines, F.lit(1), F.when(stop == 0, F.size(lines)).otherwise(stop - 1))
+
     lines = F.split(text, r"\r\n|[\n\r\x0b\x0c\x1c-\x1e\x85\u2028\u2029]")
-    is_tail = F.transform(
-        lines,
-        lambda line: reduce(
-            lambda a, b: a | b,
-            [X.strip_ends(F.lower(line)).rlike(rf"(?U){p}") for p in patterns],
-        ),
-    )
-    stop = F.array_position(is_tail, True)
-    kept = F.when(stop == 0, lines).otherwise(
-        F.slice(lines, F.lit(1), F.greatest(stop - 1, F.lit(0)).cast("int"))
-    )
-    return X.strip_ends(F.array_join(kept, " "))
+    return X.strip_ends(F.array_join(let(lines, before_tail), " "))
 
 
 def min_words(text: Column, least: int = D.MIN_CAPTION_WORDS) -> Column:
-    return F.when(F.size(X.words(text)) >= least, text)
+    return let(text, lambda t: F.when(F.size(X.words(t)) >= least, t))
 
 
 def keyword_filter(
@@ -134,11 +135,10 @@ def capture_facebook(
     cards: DataFrame, vocab: DataFrame, cutoff_page, cutoff_query,
     words: Iterable[str] = tuple(D.CAPTURE_KEYWORDS), strict: bool = False,
 ) -> DataFrame:
-    captioned = (
-        cards.filter(F.col("source") == "Facebook")
-        .withColumn("text", min_words(cut_comment_tail(caption(F.col("blocks")))))
-        .filter("text is not null")
-    )
+    facebook = cards.filter(F.col("source") == "Facebook")
+    captioned = add_once(
+        facebook, text=min_words(cut_comment_tail(caption(F.col("blocks"))))
+    ).filter("text is not null")
     recent = recent_fb(_feed_text(captioned, words, vocab, strict), cutoff_page, cutoff_query)
     return recent.select(
         F.lit("Facebook").alias("source"), "query_page",

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from stormledger import dictionaries as D
 from stormledger.functions import text as X
+from stormledger.functions.columns import add_once
 from stormledger.functions.matching import filter_contains_any
 
 
@@ -20,7 +21,7 @@ def choose_text(df: DataFrame) -> Column:
 
 
 def clean_posts(df: DataFrame, min_len: int = X.MIN_CLEAN_CHARS) -> DataFrame:
-    return df.withColumn("text_content", X.clean_text(choose_text(df), min_len))
+    return add_once(df, text_content=X.clean_text(choose_text(df), min_len))
 
 
 def drop_empty(df: DataFrame, text_col: str = "text_content") -> DataFrame:

@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator, Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F, types as T
+from pyspark.sql import Column, DataFrame, functions as F
 
 from stormledger import dictionaries as D
-from stormledger.functions.matching import quote
+from stormledger.functions.columns import add_once, let
+from stormledger.functions.matching import prefix_pattern, quote
 
 OTHER = "other"
 
@@ -50,9 +51,9 @@ def found_keywords(
     longest keyword at each position comes first and implies the shorter ones.
     """
     keywords = list(dict.fromkeys(keywords))
-    longest_first = sorted(keywords, key=len, reverse=True)
+    # shared beginnings are tried once, and the longer keyword before the shorter
     pattern = (
-        r"(?U)\b(?=((?:" + "|".join(quote(k) for k in longest_first) + ")"
+        rf"(?U)\b(?=({prefix_pattern(keywords)}"
         "(?:" + "|".join(quote(s) for s in suffixes) + r")?\b))"
     )
     forms = F.array_distinct(F.regexp_extract_all(F.lower(text), F.lit(pattern), 1))
@@ -69,7 +70,7 @@ def keyword_hits(
     """Array of ``{label, keywords}`` in dictionary order, labels with hits only."""
     every = [k for words in dictionary.values() for k in words]
     found = found_keywords(F.coalesce(text, F.lit("")), every)
-    return _hits_of(found, dictionary)
+    return let(found, lambda words: _hits_of(words, dictionary))
 
 
 def _hits_of(found: Column, dictionary: Mapping[str, Sequence[str]]) -> Column:
@@ -96,14 +97,7 @@ def with_keyword_hits(
     dictionary: Mapping[str, Sequence[str]] = D.HAZARD_KEYWORDS,
     out_col: str = "keyword_hits",
 ) -> DataFrame:
-    """Adds the hits; the scan of the text is its own column, so it runs once per row."""
-    text = F.coalesce(F.col(text_col or choose_text_column(df)), F.lit(""))
-    every = [k for words in dictionary.values() for k in words]
-    return (
-        df.withColumn("_found", found_keywords(text, every))
-        .withColumn(out_col, _hits_of(F.col("_found"), dictionary))
-        .drop("_found")
-    )
+    return add_once(df, **{out_col: keyword_hits(F.col(text_col or choose_text_column(df)), dictionary)})
 
 
 def base_label(label: Column) -> Column:
@@ -204,10 +198,11 @@ def classify(
             .drop("_scores")
         )
     hits, label_scores = F.col("keyword_hits"), F.col("label_scores")
-    return scored.withColumn(
-        "disaster_type",
-        F.when(F.size(hits) > 0, keyword_weighted_label(hits, label_scores, bonus, priority))
-        .otherwise(model_only_label(label_scores, threshold, confidence_gap, floor, priority)),
+    return add_once(
+        scored,
+        disaster_type=F.when(
+            F.size(hits) > 0, keyword_weighted_label(hits, label_scores, bonus, priority)
+        ).otherwise(model_only_label(label_scores, threshold, confidence_gap, floor, priority)),
     )
 
 
