@@ -57,20 +57,20 @@ def snapshot_inventory(spark: SparkSession, folder: str, pattern: str = "*.csv")
     )
 
 
-def latest_path(spark: SparkSession, folder: str, prefix: str) -> str:
+def latest_path(spark: SparkSession, folder: str, prefix: str, sep: str = "_") -> str:
     """Newest ``{prefix}_*.csv`` file; the later name wins when times are equal."""
     newest = (
-        snapshot_inventory(spark, folder, f"{prefix}_*.csv")
+        snapshot_inventory(spark, folder, f"{prefix}{sep}*.csv")
         .agg(F.max(F.struct("modified", "path")).alias("f"))
         .first()["f"]
     )
     if newest is None:
-        raise FileNotFoundError(f"no file {prefix}_*.csv in {folder}")
+        raise FileNotFoundError(f"no file {prefix}{sep}*.csv in {folder}")
     return newest["path"]
 
 
-def read_latest(spark: SparkSession, folder: str, prefix: str) -> DataFrame:
-    return read_table(spark, latest_path(spark, folder, prefix))
+def read_latest(spark: SparkSession, folder: str, prefix: str, sep: str = "_") -> DataFrame:
+    return read_table(spark, latest_path(spark, folder, prefix, sep))
 
 
 def snapshot_path(root: str, name: str, run_ts: dt.datetime) -> str:
