@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from stormledger.llm import bpe, chat, line_dedup, mixing
+from stormledger.llm import bpe, chat, importance, line_dedup, mixing, ngram_join
 
 QUERIES, ORACLE = {}, {}
 
@@ -32,6 +32,11 @@ def vocabulary_path() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+@query("op1_importance_resampling")
+def _(spark, d):
+    return importance.Resampler(table(spark, d, "documents"), table(spark, d, "labels")).decisions()
+
+
 @query("op3_mix_sources")
 def _(spark, d):
     sizes = mixing.document_sizes(table(spark, d, "documents"))
@@ -39,6 +44,11 @@ def _(spark, d):
     return mixed.select("doc_id", "source", "size", "source_size", "target", "taken")
 
 
+@query("op4_ngram_join")
+def _(spark, d):
+    return ngram_join.component_ids(table(spark, d, "documents"))
+
+
 @query("op5_bpe")
 def _(spark, d):
     tokens = bpe.encode(table(spark, d, "documents").select("doc_id", "text"), vocabulary_path())
