@@ -32,12 +32,16 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
 
-def cut(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` to the shared folder and read it back, ending its lineage."""
+def cut_at(df: DataFrame, name: str) -> tuple[DataFrame, str]:
+    """Write ``df`` to the shared folder and read it back, ending its lineage; the table and its path."""
     spark = df.sparkSession
     path = scratch_path(spark, name)
     df.write.mode("errorifexists").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return spark.read.schema(df.schema).parquet(path), path
+
+
+def cut(df: DataFrame, name: str) -> DataFrame:
+    return cut_at(df, name)[0]
 
 
 def drop_scratch(spark: SparkSession, path: str) -> None:
