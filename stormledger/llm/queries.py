@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from stormledger.llm import bpe, chat, importance, line_dedup, mixing, ngram_join
+from stormledger.llm import bpe, chat, importance, line_dedup, mixing, ngram_join, scaled_sketch, topk
 
 QUERIES, ORACLE = {}, {}
 
@@ -110,3 +110,23 @@ FROM keyed LEFT JOIN common USING (key) GROUP BY doc_id"""
 def _(spark, d):
     out = line_dedup.dedup_lines(table(spark, d, "documents"))
     return out.select("doc_id", "n_lines", "n_dropped", F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
+
+
+@query("op7_scaled_sketch")
+def _(spark, d):
+    return scaled_sketch.edited_fingerprints(table(spark, d, "documents"))
+
+
+@query("op10_threshold_topk", """
+WITH v AS (
+  SELECT vec_id, [CAST(floor(256 * CAST(x AS double)) AS bigint) for x in embedding] AS w FROM embeddings
+  WHERE embedding IS NOT NULL AND vec_id IS NOT NULL
+    AND len([x for x in embedding if x IS NULL OR isnan(x) OR isinf(x)]) = 0),
+s AS (
+  SELECT a.vec_id AS query_id, b.vec_id, CAST(list_inner_product(CAST(a.w AS double[]), CAST(b.w AS double[])) AS bigint) AS score
+  FROM v a JOIN v b ON a.vec_id <> b.vec_id WHERE a.vec_id % 50 = 0),
+r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s)
+SELECT query_id, CAST(rank AS int) AS rank, vec_id, score FROM r WHERE rank <= 5""")
+def _(spark, d):
+    vectors = topk.prepared(table(spark, d, "embeddings"))
+    return topk.top_k(vectors.filter("vec_id % 50 = 0"), vectors)
