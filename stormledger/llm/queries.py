@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from stormledger.llm import bpe, chat, importance, line_dedup, mixing, ngram_join, scaled_sketch, topk
+from stormledger.llm import bpe, chat, importance, language, line_dedup, mixing, ngram_join, scaled_sketch, topk
 
 QUERIES, ORACLE = {}, {}
 
@@ -130,3 +130,11 @@ SELECT query_id, CAST(rank AS int) AS rank, vec_id, score FROM r WHERE rank <= 5
 def _(spark, d):
     vectors = topk.prepared(table(spark, d, "embeddings"))
     return topk.top_k(vectors.filter("vec_id % 50 = 0"), vectors)
+
+
+@query("op9_language_id")
+def _(spark, d):
+    docs = table(spark, d, "documents")
+    held_out = F.crc32(F.col("doc_id").cast("string")) % 4 == 2
+    out = language.label(docs, language.learn(docs.filter(~held_out)))
+    return out.select("doc_id", F.coalesce(held_out, F.lit(False)).alias("held_out"), "lang_pred", "score")
