@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from stormledger.llm import bpe, chat, importance, language, line_dedup, mixing, ngram_join, scaled_sketch, topk
+from stormledger.llm import bpe, chat, html_text, importance, language, line_dedup, mixing, ngram_join, scaled_sketch, topk
 
 QUERIES, ORACLE = {}, {}
 
@@ -138,3 +138,8 @@ def _(spark, d):
     held_out = F.crc32(F.col("doc_id").cast("string")) % 4 == 2
     out = language.label(docs, language.learn(docs.filter(~held_out)))
     return out.select("doc_id", F.coalesce(held_out, F.lit(False)).alias("held_out"), "lang_pred", "score")
+
+
+@query("op2_html_layout_text")
+def _(spark, d):
+    return html_text.visible_text(table(spark, d, "pages"))
