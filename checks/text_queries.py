@@ -107,33 +107,33 @@ def _(spark, d):
     )
 
 
-_GATED = (
-    "CASE doc_id % 8 WHEN 0 THEN ' NaN ' WHEN 1 THEN 'none' WHEN 2 THEN '' WHEN 3 THEN '2025-10-27 21:39' "
-    "WHEN 4 THEN '. . .' WHEN 5 THEN substring(text, 1, 89) WHEN 6 THEN substring(text, 1, 90) ELSE text END"
-)
+# whole texts, and beside them rows on the border of each gate
+_GATED = """SELECT doc_id, text AS t FROM documents
+UNION ALL SELECT doc_id, CASE doc_id % 7 WHEN 0 THEN ' NaN ' WHEN 1 THEN 'none' WHEN 2 THEN '' WHEN 3 THEN '2025-10-27 21:39'
+  WHEN 4 THEN '. . .' WHEN 5 THEN substring(text, 1, 89) ELSE substring(text, 1, 90) END FROM documents"""
 
 
 @query("text_gates", f"""
 SELECT doc_id, CASE WHEN trim(lower(t)) IN ('', 'nan', 'none') THEN '' ELSE t END AS not_placeholder,
   CASE WHEN length(t) < 90 OR regexp_full_match(t, '[. ]+') THEN '' ELSE t END AS long_enough,
   CASE WHEN regexp_full_match(t, '([0-9:/.-]|\\s){{6,}}') THEN '' ELSE t END AS not_numeric
-FROM (SELECT doc_id, {_GATED} AS t FROM documents)""")
+FROM ({_GATED})""")
 def _(spark, d):
     t = F.col("t")
-    return V.texts(spark, d).select("doc_id", F.expr(_GATED).alias("t")).select(
+    return V.view(spark, d, _GATED).select(
         "doc_id", X.blank_placeholders(t).alias("not_placeholder"),
         X.quality_gate(t).alias("long_enough"), X.numeric_gate(t).alias("not_numeric"),
     )
 
 
+_BLANKS = """SELECT doc_id, text FROM documents UNION ALL
+SELECT doc_id, CASE WHEN doc_id % 3 = 0 THEN CAST(NULL AS STRING) WHEN doc_id % 3 = 1 THEN concat('  ', chr(10), ' ') ELSE 'x ' END FROM documents"""
+
+
 @query("drop_empty_texts", f"""
-SELECT doc_id, t AS text_content FROM (
-  SELECT doc_id, coalesce(CASE WHEN doc_id % 3 = 0 THEN NULL WHEN doc_id % 3 = 1 THEN concat('  ', chr(10), ' ') ELSE text END, '') AS t
-  FROM documents) WHERE NOT regexp_full_match(t, '{SQL_WS}*')""")
+SELECT doc_id, t AS text_content FROM (SELECT doc_id, coalesce(text, '') AS t FROM ({_BLANKS})) WHERE NOT regexp_full_match(t, '{SQL_WS}*')""")
 def _(spark, d):
-    docs = V.texts(spark, d).select("doc_id", F.expr(
-        "CASE WHEN doc_id % 3 = 0 THEN NULL WHEN doc_id % 3 = 1 THEN concat('  ', char(10), ' ') ELSE text END"
-    ).alias("text"))
+    docs = V.view(spark, d, _BLANKS)
     chosen = docs.select("doc_id", C.choose_text(docs).alias("text_content"))
     return C.drop_empty(chosen)
 
@@ -165,16 +165,25 @@ def _(spark, d):
 
 @query("mentions_location_long_list", f"""
 SELECT doc_id FROM documents
-WHERE EXISTS (SELECT 1 FROM ({_VOCAB_SQL} UNION SELECT lower(substring(text, 3, 24)) FROM benchmark) v
+WHERE EXISTS (SELECT 1 FROM ({_VOCAB_SQL} UNION SELECT lower(p_name) FROM part UNION SELECT lower(trim(text)) FROM benchmark) v
   WHERE contains(lower(text), v.w))""")
 def _(spark, d):
-    """The equi-join used when a name list is too long for a literal."""
-    from stormledger.functions.matching import filter_contains_any
+    """A list of thousands of whole names and passages."""
+    names = _vocab(spark, d).union(V.table(spark, d, "part").select(F.lower("p_name"))).union(
+        V.table(spark, d, "benchmark").select(F.lower(F.trim("text")))
+    )
+    return C.mentions_location(V.texts(spark, d), names, "text").select("doc_id")
 
-    names = _vocab(spark, d).union(
-        V.table(spark, d, "benchmark").select(F.lower(F.substring("text", 3, 24)))
-    ).distinct()
-    return filter_contains_any(V.texts(spark, d), "text", names, limit=0).select("doc_id")
+
+_JUNK = """
+SELECT doc_id, concat(text, ' ', CASE doc_id % 5 WHEN 0 THEN repeat('.', 20000) WHEN 1 THEN repeat('. ', 20000)
+  WHEN 2 THEN repeat('7', 20000) WHEN 3 THEN repeat('-', 20000) ELSE repeat('1:2 ', 20000) END, ' end') AS text FROM documents
+UNION ALL SELECT -1 - doc_id, repeat(CASE doc_id % 3 WHEN 0 THEN '. ' WHEN 1 THEN '7' ELSE '2025-10-27 ' END, 20000) FROM documents"""
+
+
+@query("clean_junk_runs", f"SELECT doc_id, {sql_clean('text')} AS text_content FROM ({_JUNK})")
+def _(spark, d):
+    return V.view(spark, d, _JUNK).select("doc_id", X.clean_text(F.col("text")).alias("text_content"))
 
 
 _HOSTS = ("example.com", "example.net")
@@ -323,10 +332,10 @@ def _(spark, d):
 
 @query("indel_ratio")
 def _(spark, d):
-    """Similarity of the first 300 characters of each turn and the one before it."""
+    """Similarity of each whole turn and the one before it."""
     turns = V.table(spark, d, "conversations").select("conv_id", "turn", "text")
     before = turns.select("conv_id", (F.col("turn") + 1).alias("turn"), F.col("text").alias("earlier"))
     return turns.join(before, ["conv_id", "turn"]).select(
         "conv_id", "turn",
-        S.indel_ratio(N.compare_prefix(F.col("text")), N.compare_prefix(F.col("earlier"))).alias("ratio"),
+        S.indel_ratio(N.normalize_for_compare(F.col("text")), N.normalize_for_compare(F.col("earlier"))).alias("ratio"),
     )

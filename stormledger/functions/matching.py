@@ -1,20 +1,19 @@
 """Substring tests against a word list.
 
-A word list that fits a bounded literal becomes one regular expression with
-shared prefixes, so a text is scanned once whatever the list's size. A longer
-list stays a table and is matched by an equi-join on word beginnings.
+A word list becomes regular expressions with shared prefixes, of a bounded number of
+words each; texts are tested where they are, without a shuffle.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterable
 from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-# a literal pattern above this many words is compiled in every task; use the join
-MAX_LITERAL_WORDS = 20_000
-KEY_CHARS = 8
+# words of one pattern: bounds what a task compiles at once, not what can be matched
+PATTERN_WORDS = 10_000
 
 
 def quote(word: str) -> str:
@@ -24,11 +23,14 @@ def quote(word: str) -> str:
 
 def shortest_words(words: Iterable[str]) -> list[str]:
     """Words that hold no other word of the list: contains-any is unchanged."""
-    kept: list[str] = []
+    kept: set[str] = set()
+    sizes: list[int] = []
     for word in sorted(set(words), key=lambda w: (len(w), w)):
-        if not any(k in word for k in kept):
-            kept.append(word)
-    return kept
+        if not any(word[i:i + n] in kept for n in sizes for i in range(len(word) - n + 1)):
+            kept.add(word)
+            if len(word) not in sizes:
+                sizes.append(len(word))
+    return sorted(kept, key=lambda w: (len(w), w))
 
 
 def prefix_pattern(words: Iterable[str]) -> str:
@@ -52,57 +54,30 @@ def prefix_pattern(words: Iterable[str]) -> str:
 
 
 def contains_any(col: Column, words: Iterable[str]) -> Column:
-    """True when ``col`` holds any of ``words`` as a substring; null is false."""
-    words = list(words)
-    if not words:
-        return F.lit(False)
+    """True when ``col`` holds any of ``words`` as a substring; null is false.
+
+    The empty word is held by every text. Words go into patterns of at most
+    ``PATTERN_WORDS`` words each, whatever the length of the list; a text is
+    scanned once per pattern.
+    """
+    words = [w for w in words if w is not None]
     if "" in words:
         return col.isNotNull()
     short = shortest_words(words)
+    if not short:
+        return F.lit(False)
     if len(short) == 1:
         return F.coalesce(F.contains(col, F.lit(short[0])), F.lit(False))
-    return F.coalesce(col.rlike(prefix_pattern(short)), F.lit(False))
+    short.sort()  # neighbours share beginnings
+    patterns = [prefix_pattern(short[i:i + PATTERN_WORDS]) for i in range(0, len(short), PATTERN_WORDS)]
+    return F.coalesce(reduce(or_, [col.rlike(p) for p in patterns]), F.lit(False))
 
 
-def bounded_words(words: DataFrame, limit: int = MAX_LITERAL_WORDS) -> list[str] | None:
-    """The one-column table as a list, or None when it holds more than ``limit``."""
-    rows = words.limit(limit + 1).collect()
-    return None if len(rows) > limit else [r[0] for r in rows if r[0] is not None]
+def word_list(words: DataFrame) -> list[str]:
+    """The distinct words of a one-column table. A word list is a dimension: names and keywords."""
+    return sorted(r[0] for r in words.dropna().distinct().collect())
 
 
-def filter_contains_any(
-    df: DataFrame, text_col: str, words: DataFrame, limit: int = MAX_LITERAL_WORDS
-) -> DataFrame:
+def filter_contains_any(df: DataFrame, text_col: str, words: DataFrame) -> DataFrame:
     """Rows of ``df`` whose lower-cased text holds any word of the ``words`` table."""
-    literal = bounded_words(words, limit)
-    if literal is not None:
-        return df.filter(contains_any(F.lower(text_col), literal))
-    return _semi_join_contains(df, text_col, words)
-
-
-def _semi_join_contains(df: DataFrame, text_col: str, words: DataFrame) -> DataFrame:
-    """The same test as an equi-join on each word's first characters.
-
-    Texts are keyed by their own hash, so equal texts are tested once and the
-    join back needs no row id.
-    """
-    words = words.toDF("word").filter("word is not null").distinct()
-    words = words.withColumn("head", F.substring("word", 1, KEY_CHARS))
-    lengths = [r[0] for r in words.select(F.length("head")).distinct().collect() if r[0]]
-    text_id = F.md5(F.lower(F.col(text_col)))
-    texts = df.select(text_id.alias("text_id"), F.lower(text_col).alias("low")).distinct()
-
-    def runs(size: int) -> DataFrame:
-        # the look-ahead takes nothing, so one pass yields the run at every position
-        heads = F.regexp_extract_all("low", F.lit(f"(?s)(?=(.{{{size}}}))"), 1)
-        return texts.select("text_id", F.explode(F.array_distinct(heads)).alias("head"))
-
-    keyed = reduce(DataFrame.unionByName, [runs(n) for n in lengths])
-    hits = (
-        keyed.join(words, "head")
-        .join(texts, "text_id")
-        .filter(F.contains("low", "word"))
-        .select("text_id")
-        .distinct()
-    )
-    return df.join(hits, text_id == hits["text_id"], "left_semi")
+    return df.filter(contains_any(F.lower(text_col), word_list(words)))

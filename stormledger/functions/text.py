@@ -18,11 +18,12 @@ URL_PATTERN = rf"(?U)https?://{NOT_WS}+|www\.{NOT_WS}+"
 TAG_PATTERN = r"<[^>\n]*>"
 ENTITY_PATTERN = r"(?U)&\w+;"
 SEPARATOR_PATTERN = r"[-=*_]{3,}"
-DOT_RUN_PATTERN = rf"(?U)(?:\.{WS}*){{3,}}"
+# possessive: a group repeated greedily would take one stack frame per repetition
+DOT_RUN_PATTERN = rf"(?U)(?:\.{WS}*+){{3,}}+"
 NON_ASCII_PATTERN = r"[^\x00-\x7F]"
 BOILERPLATE_PATTERN = r"(?i)(?:shared a post|see more|commented|replied)"
 PLACEHOLDER_PATTERN = rf"(?iU)\A{WS}*(?:nan|none)?{WS}*\z"
-ONLY_NUMBERS_PATTERN = rf"\A(?:[0-9:/.-]|{WS}){{6,}}\z"
+ONLY_NUMBERS_PATTERN = r"\A[0-9:/.\-\s\x1c-\x1f]{6,}\z"
 MIN_CLEAN_CHARS = 90
 
 

@@ -168,14 +168,14 @@ def capture_x(
 
 
 def ingest_stats(cards: DataFrame, posts: DataFrame) -> DataFrame:
-    """Cards scanned and posts added per feed, and per source (``query_page`` null)."""
-    scanned = cards.groupBy("source", "query_page").agg(F.count(F.lit(1)).alias("scanned"))
-    added = posts.groupBy("source", "query_page").agg(F.count(F.lit(1)).alias("added"))
-    per_feed = scanned.join(added, ["source", "query_page"], "left").withColumn(
-        "added", F.coalesce("added", F.lit(0).cast("bigint"))
-    )
-    per_source = per_feed.groupBy("source").agg(
-        F.lit(None).cast("string").alias("query_page"),
-        F.sum("scanned").alias("scanned"), F.sum("added").alias("added"),
+    """Cards scanned and posts added per feed, and per source (``query_page`` null).
+
+    Both tables are read once and summed together; a feed without a name is a feed.
+    """
+    one, none = F.lit(1).cast("bigint"), F.lit(0).cast("bigint")
+    events = cards.select("source", "query_page", one.alias("scanned"), none.alias("added")).unionByName(
+        posts.select("source", "query_page", none.alias("scanned"), one.alias("added"))
     )
-    return per_feed.unionByName(per_source)
+    sums = [F.sum(c).alias(c) for c in ("scanned", "added")]
+    per = events.groupingSets([["source", "query_page"], ["source"]], "source", "query_page").agg(*sums)
+    return per.filter("scanned > 0").select("source", "query_page", "scanned", "added")

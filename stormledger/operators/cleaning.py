@@ -4,12 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterable, Mapping
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Observation, functions as F
 
 from stormledger import dictionaries as D
 from stormledger.functions import text as X
 from stormledger.functions.columns import add_once
-from stormledger.functions.matching import filter_contains_any
+from stormledger.functions.matching import contains_any, filter_contains_any, word_list
 
 
 def choose_text(df: DataFrame) -> Column:
@@ -73,8 +73,7 @@ def keep_trusted_or_local(
 ) -> DataFrame:
     """Posts that mention a place or come from a trusted page."""
     is_trusted = F.coalesce(F.lower("page_source").isin([t.lower() for t in trusted]), F.lit(False))
-    local = mentions_location(df.filter(~is_trusted), vocab, text_col)
-    return df.filter(is_trusted).unionByName(local)
+    return df.filter(is_trusted | contains_any(F.lower(text_col), word_list(vocab)))
 
 
 def format_columns(df: DataFrame) -> DataFrame:
@@ -87,24 +86,19 @@ def format_columns(df: DataFrame) -> DataFrame:
 
 
 def stage_counts(df: DataFrame, stages: Mapping[str, Callable[[DataFrame], DataFrame]]) -> DataFrame:
-    """Rows before, after and dropped for each stage, in the order given."""
-    frames = [("input", df)]
-    for name, stage in stages.items():
-        frames.append((name, stage(frames[-1][1])))
-    spark = df.sparkSession
-    order = spark.createDataFrame(
-        [(i, n) for i, (n, _) in enumerate(frames)], "step int, stage string"
-    )
-    counted = None
-    for i, (_, frame) in enumerate(frames):
-        one = frame.agg(F.count(F.lit(1)).alias("rows_out")).withColumn("step", F.lit(i))
-        counted = one if counted is None else counted.unionByName(one)
-    before = counted.select((F.col("step") + 1).alias("step"), F.col("rows_out").alias("rows_in"))
-    return (
-        order.join(counted, "step")
-        .join(before, "step", "left")
-        .select(
-            "step", "stage", F.coalesce("rows_in", "rows_out").alias("rows_in"), "rows_out",
-            (F.coalesce("rows_in", "rows_out") - F.col("rows_out")).alias("dropped"),
-        )
+    """Rows before, after and dropped for each stage, in the order given.
+
+    The stages run once: every one of them counts the rows that pass through it.
+    """
+    names = ["input", *stages]
+    counters = [Observation() for _ in names]
+    frame = df.observe(counters[0], F.count(F.lit(1)).alias("n"))
+    for counter, stage in zip(counters[1:], stages.values(), strict=True):
+        frame = stage(frame).observe(counter, F.count(F.lit(1)).alias("n"))
+    frame.write.format("noop").mode("overwrite").save()
+    counts = [c.get["n"] for c in counters]
+    before = [counts[0], *counts]
+    return df.sparkSession.createDataFrame(
+        [(k, name, b, n, b - n) for k, (name, b, n) in enumerate(zip(names, before, counts))],
+        "step int, stage string, rows_in bigint, rows_out bigint, dropped bigint",
     )

@@ -113,7 +113,10 @@ def _priority(label: Column, priority: Sequence[str]) -> Column:
 def keyword_weighted_label(
     hits: Column, scores: Column, bonus: float = 0.02, priority: Sequence[str] = D.HAZARD_PRIORITY
 ) -> Column:
-    """Best label among those with hits: score plus bonus per hit, hits, priority."""
+    """Best label among those with hits: score plus bonus per hit, hits, priority.
+
+    A label outside the priority list cannot be ranked: the post becomes ``other``.
+    """
     ranked = F.transform(
         hits,
         lambda h: F.struct(
@@ -124,7 +127,9 @@ def keyword_weighted_label(
             h["label"].alias("label"),
         ),
     )
-    return F.array_max(ranked)["label"]
+    return let(ranked, lambda r: F.when(
+        F.exists(r, lambda h: h["rank"] == 0), F.lit(OTHER)
+    ).otherwise(F.array_max(r)["label"]))
 
 
 def model_only_label(
@@ -161,11 +166,15 @@ def model_only_label(
 
 
 def score_map(scores: DataFrame) -> DataFrame:
-    """``(post_id, label, score)`` rows as one map per post, base labels as keys."""
+    """``(post_id, label, score)`` rows as one map per post, base labels as keys.
+
+    Of two labels with one base name the lower score counts: a classifier lists its
+    labels by falling score, and the later one replaces the earlier.
+    """
     one_per_label = (
         scores.withColumn("label", base_label(F.col("label")))
         .groupBy("post_id", "label")
-        .agg(F.max("score").alias("score"))
+        .agg(F.min("score").alias("score"))
     )
     return one_per_label.groupBy("post_id").agg(
         F.map_from_entries(F.sort_array(F.collect_list(F.struct("label", "score")))).alias("_scores")

@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 import datetime as dt
+from fnmatch import fnmatchcase
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F, types as T
 
+from stormledger.runtime import cut
 from stormledger.schemas import POSTS
 
 
@@ -34,9 +36,9 @@ def read_posts(spark: SparkSession, path: str, schema: T.StructType = POSTS) ->
     )
 
 
-def read_table(spark: SparkSession, path: str) -> DataFrame:
+def read_table(spark: SparkSession, path: str | list[str]) -> DataFrame:
     """The same CSV dialect with every header column as a string."""
-    if not _exists(spark, path):
+    if isinstance(path, str) and not _exists(spark, path):
         raise FileNotFoundError(path)
     return (
         spark.read.option("header", True).option("multiLine", True)
@@ -45,31 +47,41 @@ def read_table(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
+def _entries(spark: SparkSession, folder: str) -> list:
+    """Hadoop's status of the folder's own entries; none if it is absent."""
+    if not _exists(spark, folder):
+        return []
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    return list(where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).listStatus(where))
+
+
 def snapshot_inventory(spark: SparkSession, folder: str, pattern: str = "*.csv") -> DataFrame:
     """``(path, modified, bytes)`` of the folder's own files; no rows if it is absent."""
-    if not _exists(spark, folder):
-        return spark.createDataFrame([], "path string, modified timestamp, bytes bigint")
-    return (
-        spark.read.format("binaryFile")
-        .option("pathGlobFilter", pattern)
-        .load(folder)
-        .select("path", F.col("modificationTime").alias("modified"), F.col("length").alias("bytes"))
-    )
+    rows = [
+        (e.getPath().toString(), e.getModificationTime(), e.getLen())
+        for e in _entries(spark, folder) if e.isFile() and fnmatchcase(e.getPath().getName(), pattern)
+    ]
+    listed = spark.createDataFrame(rows, "path string, modified bigint, bytes bigint")
+    return listed.select("path", F.timestamp_millis("modified").alias("modified"), "bytes")
 
 
 def latest_path(spark: SparkSession, folder: str, prefix: str, sep: str = "_") -> str:
-    """Newest ``{prefix}_*.csv`` file; the later name wins when times are equal."""
-    newest = (
-        snapshot_inventory(spark, folder, f"{prefix}{sep}*.csv")
-        .agg(F.max(F.struct("modified", "path")).alias("f"))
-        .first()["f"]
-    )
-    if newest is None:
-        raise FileNotFoundError(f"no file {prefix}{sep}*.csv in {folder}")
-    return newest["path"]
+    """Newest snapshot: a ``{prefix}_*.csv`` file, or a folder ``{prefix}_*`` with all its parts.
+
+    The later name wins when times are equal.
+    """
+    found = [
+        (e.getModificationTime(), e.getPath().getName(), e.getPath().toString())
+        for e in _entries(spark, folder)
+        if e.getPath().getName().startswith(prefix + sep) and (e.isDirectory() or e.getPath().getName().endswith(".csv"))
+    ]
+    if not found:
+        raise FileNotFoundError(f"no snapshot {prefix}{sep}* in {folder}")
+    return max(found)[2]
 
 
 def read_latest(spark: SparkSession, folder: str, prefix: str, sep: str = "_") -> DataFrame:
+    """All rows of the newest snapshot."""
     return read_table(spark, latest_path(spark, folder, prefix, sep))
 
 
@@ -93,15 +105,38 @@ def write_snapshot(
 
 
 def newest_run(spark: SparkSession, root: str, name: str) -> DataFrame:
-    """Rows of the latest written run of a Parquet snapshot; only its partition is read."""
-    every = spark.read.option("basePath", f"{root}/{name}").parquet(f"{root}/{name}")
-    last = every.agg(F.max("run_ts")).first()[0]
-    return every.filter(F.col("run_ts") == F.lit(last)).drop("run_ts")
+    """Rows of the latest written run of a Parquet snapshot; runs are told apart by their names."""
+    runs = [e.getPath() for e in _entries(spark, f"{root}/{name}") if e.getPath().getName().startswith("run_ts=")]
+    if not runs:
+        raise FileNotFoundError(f"no run of {name} in {root}")
+    return spark.read.parquet(max(runs, key=lambda p: p.getName()).toString())
+
 
+def with_row_index(df: DataFrame, index_col: str) -> DataFrame:
+    """Adds 0, 1, 2, ... in the present order of the rows, without bringing them together.
 
-def union_posts(*frames: DataFrame) -> DataFrame:
-    """All rows of all captures; a column one of them lacks is null there."""
-    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
+    Rows are written once with their partition and their place in it; the counts of the
+    partitions before give each partition its first number.
+    """
+    placed = cut(df.withColumn("_at", F.monotonically_increasing_id()), "row-index")
+    part = F.shiftright("_at", 33)
+    counted = placed.groupBy(part.alias("_part")).agg(F.count(F.lit(1)).alias("_n"))
+    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    firsts = counted.select("_part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_first"))
+    own = F.col("_at").bitwiseAND(F.lit((1 << 33) - 1))
+    return (
+        placed.withColumn("_part", part).join(firsts, "_part")
+        .withColumn(index_col, F.col("_first") + own).drop("_at", "_part", "_first")
+    )
+
+
+def union_posts(*frames: DataFrame, index_col: str | None = None) -> DataFrame:
+    """All rows of all captures; a column one of them lacks is null there.
+
+    ``index_col`` names a new row number over all of them, in capture order.
+    """
+    every = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
+    return with_row_index(every, index_col) if index_col else every
 
 
 def _checked(df: DataFrame, schema: T.StructType, what: str) -> DataFrame:

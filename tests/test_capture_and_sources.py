@@ -103,3 +103,23 @@ def test_gazetteer_files_keep_leading_zeros(spark, tmp_path):
     ]
     names = {r.name for r in G.location_vocab(gaz).collect()}
     assert names == {"ilocos norte", "region i (ilocos region)"} | set(D.EXTRA_PLACE_NAMES)
+
+
+def test_newest_snapshot_is_read_whole_and_folders_are_not_searched(spark, tmp_path):
+    rows = spark.range(10).selectExpr("cast(id as string) a")
+    old = S.write_snapshot(rows.filter("a = '1'"), str(tmp_path), "raw", dt.datetime(2025, 1, 1), "csv")
+    S.write_snapshot(rows.repartition(3), str(tmp_path), "raw", dt.datetime(2025, 1, 2), "csv")
+    assert S.read_latest(spark, str(tmp_path / "raw"), "run_ts", "=").count() == 10
+    assert S.snapshot_inventory(spark, str(tmp_path / "raw")).count() == 0
+    assert S.snapshot_inventory(spark, old).count() == 1
+    S.write_snapshot(rows, str(tmp_path), "table", dt.datetime(2025, 1, 2))
+    S.write_snapshot(rows.limit(4), str(tmp_path), "table", dt.datetime(2025, 1, 3))
+    assert S.newest_run(spark, str(tmp_path), "table").count() == 4
+
+
+def test_union_numbers_rows_in_order(spark):
+    first = spark.range(0, 50, 1, 3).selectExpr("id a")
+    second = spark.range(50, 57, 1, 2).selectExpr("id a", "'x' b")
+    got = S.union_posts(first, second, index_col="post_id").collect()
+    assert sorted((r.post_id, r.a) for r in got) == [(i, i) for i in range(57)]
+    assert S.union_posts(first.limit(0), index_col="post_id").count() == 0

@@ -1,6 +1,6 @@
 from pyspark.sql import functions as F
 
-from stormledger.functions import text as X
+from stormledger.functions import matching, text as X
 from stormledger.functions.matching import contains_any, filter_contains_any, prefix_pattern
 from stormledger.operators import cleaning as C
 
@@ -50,13 +50,30 @@ def test_prefix_pattern_matches_exactly_its_words(values):
     assert values(lambda c: c.rlike(pattern), texts) == [t in words for t in texts]
 
 
-def test_long_word_list_join_equals_literal(spark):
+def test_word_lists_of_any_length_give_one_answer(spark, monkeypatch):
     texts = ["flood in davao", "nothing", "Photo", "", "the quick brown fox jumps", None]
     df = spark.createDataFrame(list(enumerate(texts)), "i int, t string")
-    words = spark.createDataFrame([("davao",), ("ph",), ("quick brown fox",), ("zzz",), ("g",)], "w string")
-    literal = filter_contains_any(df, "t", words)
-    joined = filter_contains_any(df, "t", words, limit=0)
-    assert sorted(r.i for r in literal.collect()) == sorted(r.i for r in joined.collect()) == [0, 1, 2, 4]
+
+    def kept(*words):
+        table = spark.createDataFrame([(w,) for w in words], "w string")
+        return sorted(r.i for r in filter_contains_any(df, "t", table).collect())
+
+    words = ["davao", "ph", "quick brown fox", "zzz", "g", None]
+    for size in (10_000, 2, 1):
+        monkeypatch.setattr(matching, "PATTERN_WORDS", size)
+        assert kept(*words) == [0, 1, 2, 4]
+        assert kept("", "zzz") == kept("") == [0, 1, 2, 3, 4]
+        assert kept(None) == []
+    monkeypatch.setattr(matching, "PATTERN_WORDS", 10_000)
+    assert kept(*[f"name number {i}" for i in range(25_000)], "avao") == [0]
+
+
+def test_junk_runs_of_any_length(values):
+    n = 1_000_000
+    runs = ["." * n, ". " * n, "7" * n, "7 " * n, "-" * n, "<" * n, "&a" * n, "www." * n, "# " * n]
+    assert [len(t) for t in values(X.clean_text, runs)] == [0, 0, 0, 0, 0, n, 2 * n, 0, 2 * n - 1]
+    assert values(X.blank_dot_runs, ["a" + "." * n + "b", "a. . .b", "a..b"]) == ["a b", "a b", "a..b"]
+    assert values(X.numeric_gate, ["7" * n, "7" * n + "x"]) == ["", "7" * n + "x"]
 
 
 def test_display_names_are_not_trusted_handles(spark):
