@@ -2,13 +2,30 @@
 
 from __future__ import annotations
 
+import contextlib
 import re
 import tempfile
 import uuid
+from collections.abc import Iterator
 
 from pyspark.sql import DataFrame, SparkSession
 
 _local_dirs: dict[str, str] = {}
+_open_scratch: list[list[str]] = []
+
+
+@contextlib.contextmanager
+def scratch() -> Iterator[list[str]]:
+    """Deletes, at its end, the tables that were cut inside it; what is taken off the list stays."""
+    written: list[str] = []
+    _open_scratch.append(written)
+    try:
+        yield written
+    finally:
+        _open_scratch.remove(written)
+        session = SparkSession.getActiveSession()
+        for path in written if session else []:
+            drop_scratch(session, path)
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -37,6 +54,8 @@ def cut_at(df: DataFrame, name: str) -> tuple[DataFrame, str]:
     spark = df.sparkSession
     path = scratch_path(spark, name)
     df.write.mode("errorifexists").parquet(path)
+    for written in _open_scratch:
+        written.append(path)
     return spark.read.schema(df.schema).parquet(path), path
 
 
