@@ -14,11 +14,13 @@ band has too few non-empty segments, the first D segments of the band count twic
 there all sets also index their one-deletion neighbourhoods, which finds segments
 that differ in one shingle; D is the least that gives every set H + 1.
 
-Pairs are verified on the whole sets. Links are gathered in stars first (each set
-against one hub of its segments), then every pair that still lies in two
-components is verified; so a group of copies is joined without listing its pairs,
-and no link between two components is missed. Equal sets are one class throughout.
-Classes are known by 64-bit keys.
+Pairs are verified on the whole sets. In a small bucket of equal signatures all pairs
+are; in a large one each set is verified against one hub only, so that a group of copies
+is joined without listing its pairs. What then still lies in several components is
+compared by its changes against one reference set of its bucket: an exact prefix filter over the
+changes finds the pairs that can be linked, and these are verified. So no link between
+two components is missed. Equal sets are one class throughout. Classes are known
+by 64-bit keys.
 
 Texts as in ``shingles``; null or wordless text: empty set, linked with nothing.
 Each row is a document; a component is named by its smallest non-null doc_id, an
@@ -40,7 +42,9 @@ from stormledger.llm.shingles import mix, set_key, shingle_sets
 from stormledger.runtime import cut_at, drop_scratch
 
 PERCENT = 80
+COUNTER_CELLS = 1 << 16  # of the fixed-size counter that ranks changes by rarity
 INDEX_ROWS = 400_000  # signatures that a task pre-aggregates together
+SMALL_BUCKET = 32  # up to so many sets of one signature all pairs are verified
 FILTER_BITS = 1 << 23  # of the fixed-size filter of wanted documents
 _U = np.uint64
 _I = np.int64
@@ -290,8 +294,10 @@ def similar_sets(docs: DataFrame, layout: Layout = Layout()) -> tuple[DataFrame,
     classes = classes.withColumn("need", F.floor((F.col("n") + F.floor(F.col("n") * 100 / percent)) * (100 - percent) / (100 + percent)) + 1)
 
     index = _index(docs, layout, doubled)
-    together = F.sum(F.when(F.col("copies") > 0, F.col("copies"))).over(W.partitionBy("spot", "sig"))
-    shared = index.withColumn("met", F.when(F.col("copies") < 0, -F.col("copies")).otherwise(together)).filter("met > 1")
+    # tasks repeat a class that has copies in several of them: only different keys share a signature
+    bucket = W.partitionBy("spot", "sig")
+    together = F.when((F.min("key").over(bucket) < F.max("key").over(bucket)) | (F.max("copies").over(bucket) > 1), F.sum("copies").over(bucket))
+    shared = index.withColumn("met", F.when(F.col("copies") < 0, -F.col("copies")).otherwise(together)).filter("met > 1").dropDuplicates(["sig", "key", "kind"])
     shared, shared_path = cut_at(shared.select("sig", "key", "kind", "met"), "ngram-shared")
 
     # what a set still has to spend after the segments that nobody shares
@@ -311,38 +317,152 @@ def similar_sets(docs: DataFrame, layout: Layout = Layout()) -> tuple[DataFrame,
     sets = _sets(docs, _filter_of(wanted.select("doc_id"))).join(wanted.select("key"), "key", "left_semi")
     sets, sets_path = cut_at(sets.dropDuplicates(["key"]), "ngram-sets")
 
-    links, links_path = cut_at(_verified(_star_pairs(probes, indexed, percent), sets, percent), "ngram-links")
+    # all pairs of small buckets, and in large ones each probing set against the bucket's hub
+    sizes = indexed.groupBy("sig").agg(F.count("*").alias("size"))
+    popular = indexed.join(sizes, "sig").groupBy("other").agg(F.sum("size").alias("fame"))
+    hub = F.max(F.struct("fame", "other", "m")).alias("hub")
+    hubs, hubs_path = cut_at(indexed.join(popular, "other").groupBy("sig").agg(F.count("*").alias("size"), hub), "ngram-hubs")
+    refs, refs_path = cut_at(_references(indexed, hubs), "ngram-references")
+    pairs = _small_pairs(probes, indexed, hubs, percent).union(_hub_pairs(probes, refs, percent)).distinct()
+    links, links_path = cut_at(_verified(pairs, sets, percent), "ngram-links")
     parts, parts_path = cut_at(components(links), "ngram-components")
-    rest, rest_path = cut_at(_open_pairs(probes, indexed, parts, percent), "ngram-open")
-    more, more_path = cut_at(_verified(rest, sets, percent), "ngram-more")
-    if not more.isEmpty():
+
+    large, large_path = cut_at(_open_members(indexed, refs, parts), "ngram-large")
+    spent = [probes_path, indexed_path, sets_path, hubs_path, refs_path, links_path, large_path]
+    if not large.isEmpty():
+        changes, changes_path = cut_at(_changes(large, sets, percent), "ngram-changes")
+        near = changes.filter("near").select(*_ordered("key", "hub"))
         drop_scratch(spark, parts_path)
-        parts, _ = cut_at(components(links.union(more)), "ngram-components")
-    for path in (probes_path, indexed_path, sets_path, links_path, rest_path, more_path):
+        known, known_path = cut_at(components(links.union(near)), "ngram-components")
+        far, far_path = cut_at(_change_pairs(changes, known, percent), "ngram-far")
+        more, more_path = cut_at(_verified(far, sets, percent), "ngram-more")
+        parts, _ = cut_at(components(links.union(near).union(more)), "ngram-components")
+        spent += [changes_path, known_path, far_path, more_path]
+    for path in spent:
         drop_scratch(spark, path)
     return profiles, parts
 
 
-def _star_pairs(probes: DataFrame, indexed: DataFrame, percent: int) -> DataFrame:
-    """One pair for each probing set: with the first set, in a shuffled order, that a probed segment holds."""
-    order = F.struct(F.xxhash64("other").alias("order"), "other", "m")
-    hubs = indexed.groupBy("sig").agg(F.min(order).alias("hub"))
-    met = probes.join(hubs, "sig").select("key", "n", "hub.*").filter("key <> other").filter(_fitting(percent))
-    first = met.groupBy("key").agg(F.min(F.struct("order", "other")).alias("hub"))
-    return first.select(F.least("key", "hub.other").alias("a"), F.greatest("key", "hub.other").alias("b")).distinct()
+def _ordered(a, b) -> list:
+    return [F.least(a, b).alias("a"), F.greatest(a, b).alias("b")]
+
+
+def _small_pairs(probes: DataFrame, indexed: DataFrame, hubs: DataFrame, percent: int) -> DataFrame:
+    """Every pair of a probing set and another one in a bucket of at most ``SMALL_BUCKET`` sets."""
+    small = hubs.filter(F.col("size") <= SMALL_BUCKET).select("sig")
+    met = probes.join(small, "sig", "left_semi").join(indexed.join(small, "sig", "left_semi"), "sig")
+    return met.filter("key <> other AND m >= n").filter(_fitting(percent)).select(*_ordered("key", "other"))
+
+
+def _references(indexed: DataFrame, hubs: DataFrame) -> DataFrame:
+    """(sig, fame, hub, hub_n) of the large buckets: one set that all sets of the bucket are compared with.
+
+    It is the most shared set that the bucket's own most shared set meets in any large
+    bucket, so that the buckets of one family have the same few references.
+    """
+    large = hubs.filter(F.col("size") > SMALL_BUCKET).select("sig", "hub")
+    best = indexed.join(large, "sig").groupBy(F.col("other").alias("first")).agg(F.max("hub").alias("best"))
+    return large.join(best, F.col("hub.other") == F.col("first")).select(
+        "sig", "best.fame", F.col("best.other").alias("hub"), F.col("best.m").alias("hub_n")
+    )
 
 
-def _open_pairs(probes: DataFrame, indexed: DataFrame, parts: DataFrame, percent: int) -> DataFrame:
-    """All pairs of a probed segment that lie in different components."""
-    label = parts.select(F.col("node"), F.col("component"))
-    found = indexed.join(label, F.col("other") == F.col("node"), "left").select("sig", "other", "m", F.coalesce("component", "other").alias("c"))
+def _hub_pairs(probes: DataFrame, refs: DataFrame, percent: int) -> DataFrame:
+    """One pair for each probing set of large buckets: with the most shared of their references."""
+    met = probes.join(refs, "sig").filter("key <> hub").filter(_fitting(percent, "n", "hub_n"))
+    first = met.groupBy("key").agg(F.max(F.struct("fame", "hub")).alias("best"))
+    return first.select(*_ordered("key", "best.hub"))
+
+
+def _open_members(indexed: DataFrame, refs: DataFrame, parts: DataFrame) -> DataFrame:
+    """(key, hub) rows of the large buckets whose sets still lie in several components."""
+    found = indexed.join(refs.select("sig", "hub"), "sig").join(parts, F.col("other") == F.col("node"), "left").withColumn("c", F.coalesce("component", "other"))
     mixed = found.groupBy("sig").agg(F.min("c").alias("low"), F.max("c").alias("high")).filter("low <> high").select("sig")
-    asked = probes.join(mixed, "sig", "left_semi").join(label, F.col("key") == F.col("node"), "left").select(
-        "sig", "key", "n", F.coalesce("component", "key").alias("own")
+    return found.join(mixed, "sig", "left_semi").select(F.col("other").alias("key"), "hub").distinct()
+
+
+def _changes(large: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """What tells the sets of each open large bucket from its hub.
+
+    (key, hub, n, d, near, asks, held, tokens): the shingles that only one of the two
+    has, their number, whether set and hub are linked, and how many of the shingles the
+    set looks up and how many it is found by.
+    """
+    cores = large.select("hub").distinct().join(sets, F.col("hub") == F.col("key")).select("hub", F.col("shingles").alias("core"))
+    own = large.filter("key <> hub").join(sets, "key").join(cores, "hub")
+    told = own.select(
+        "key", "hub", F.size("shingles").alias("n"), F.size("core").alias("hub_n"),
+        F.concat(F.array_except("shingles", "core"), F.array_except("core", "shingles")).alias("tokens"),
+    ).withColumn("d", F.size("tokens"))
+    extra = F.ceil(F.greatest(F.lit(0), F.col("n") - F.col("hub_n")) * (100 - percent) / (100 + percent))
+    asks = F.least(F.col("d"), _allowed(F.col("n") + F.floor(F.col("n") * 100 / percent), percent) + 1)
+    held = F.greatest(F.lit(0), F.least(asks, F.col("d") - F.ceil((F.lit(1) + F.col("d") - extra) / 2) + 1))
+    near = F.col("d") <= _allowed(F.col("n") + F.col("hub_n"), percent)
+    return told.select("key", "hub", "n", "d", near.alias("near"), asks.cast("int").alias("asks"), held.cast("int").alias("held"), "tokens")
+
+
+def _rarest_first(changes: DataFrame) -> DataFrame:
+    """(key, hub, n, d, near, token, asked, found): the prefix of each set, rarest tokens first.
+
+    Tokens are ranked by a counter of fixed size. Any order that all sets share gives
+    the same links; a better one only fewer pairs to verify.
+    """
+    cell = F.col("token").bitwiseAND(F.lit(COUNTER_CELLS - 1))
+    counted = changes.select(F.explode("tokens").alias("token")).groupBy(cell.alias("cell")).agg(F.count("*").alias("n")).collect()
+    counts = np.zeros(COUNTER_CELLS, _I)
+    for at, n in counted:
+        counts[at] = n
+    held = changes.sparkSession.sparkContext.broadcast(counts)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts = held.value
+        for batch in batches:
+            keys, hubs, sizes, changed, near, asks, founds, lists = (batch.column(k) for k in range(8))
+            rows, tokens, asked, found = [], [], [], []
+            for k in range(batch.num_rows):
+                own = lists[k].values.to_numpy(zero_copy_only=False)
+                f = founds[k].as_py()
+                a = 0 if near[k].as_py() else asks[k].as_py()
+                prefix = own[np.lexsort((own, counts[own & (COUNTER_CELLS - 1)]))[: max(a, f)]]
+                rows.append(np.full(len(prefix), k))
+                tokens.append(prefix)
+                place = np.arange(len(prefix))
+                asked.append(place < a)
+                found.append(place < f)
+            at = pa.array(np.concatenate(rows) if rows else np.zeros(0, _I))
+            yield pa.RecordBatch.from_arrays(
+                [c.take(at) for c in (keys, hubs, sizes, changed)]
+                + [pa.array(np.concatenate(x) if x else np.zeros(0, t), y) for x, t, y in ((tokens, _I, pa.int64()), (asked, bool, pa.bool_()), (found, bool, pa.bool_()))],
+                ["key", "hub", "n", "d", "token", "asked", "found"],
+            )
+
+    return changes.mapInArrow(run, "key long, hub long, n int, d int, token long, asked boolean, found boolean")
+
+
+def _allowed(total, percent: int):
+    return F.floor(total * (100 - percent) / (100 + percent))
+
+
+def _change_pairs(changes: DataFrame, known: DataFrame, percent: int) -> DataFrame:
+    """Pairs of one hub in different components that may be linked; one of the two is not linked to the hub.
+
+    Sets of d and e changes that may differ in H shingles share (d + e - H) / 2 of their
+    changes or more. As one set has more changes than any that is linked to the hub, the
+    other shares more than half of its own; and since e is d - H or more, d - H are shared. A
+    prefix of either, in one order for all, so holds a shared one.
+    """
+    label = known.select("node", F.col("component").alias("c"))
+    rows = _rarest_first(changes).join(label, F.col("key") == F.col("node"), "left").withColumn("c", F.coalesce("c", "key"))
+
+    def side(kept: str, tag: str) -> DataFrame:
+        return rows.filter(kept).select(*[F.col(x).alias(f"{x}_{tag}") for x in ("hub", "key", "n", "d", "c", "token")])
+
+    far, held = side("asked", "r"), side("found", "s")
+    gap = _allowed(F.col("n_r") + F.col("n_s"), percent)
+    met = far.join(held, (F.col("hub_r") == F.col("hub_s")) & (F.col("token_r") == F.col("token_s"))).filter(
+        (F.col("c_r") != F.col("c_s")) & (F.abs(F.col("d_r") - F.col("d_s")) <= gap)
     )
-    found = found.join(mixed, "sig", "left_semi")
-    met = asked.join(found, "sig").filter("own <> c AND m >= n").filter(_fitting(percent))
-    return met.select(F.least("key", "other").alias("a"), F.greatest("key", "other").alias("b")).distinct()
+    return met.filter(_fitting(percent, "n_r", "n_s")).select(*_ordered("key_r", "key_s")).distinct()
 
 
 def component_ids(docs: DataFrame, layout: Layout = Layout()) -> DataFrame:

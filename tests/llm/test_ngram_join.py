@@ -55,6 +55,25 @@ def test_doubled_segments_equal_brute_force(spark, brute_components):
     assert got == sorted(brute_components(rows))
 
 
+@pytest.mark.parametrize("seed", [5, 6])
+def test_large_groups_of_near_copies(spark, brute_components, seed):
+    """Two families whose members are mostly too far from the centre and from each other."""
+    rng = random.Random(seed)
+    rows = []
+    for _ in range(2):
+        base = [f"w{rng.randrange(300)}" for _ in range(rng.choice([60, 90]))]
+        for _ in range(150):
+            words = list(base)
+            for _ in range(rng.randrange(0, 7)):
+                at = rng.randrange(len(words))
+                kind = rng.random()
+                words[at : at + (kind < 0.7)] = [] if kind < 0.35 else [rng.choice(["x", "y", f"z{rng.randrange(40)}"])]
+            rows.append(" ".join(words))
+    rows = list(enumerate(rows))
+    got = sorted(tuple(r) for r in N.component_ids(rows_of(spark, rows)).collect())
+    assert got == sorted(brute_components(rows))
+
+
 def test_other_threshold(spark, brute_components):
     rows = corpus(4)
     got = sorted(tuple(r) for r in N.component_ids(rows_of(spark, rows), N.Layout(percent=60)).collect())
