@@ -44,6 +44,7 @@ SCRIPTS = [
     ("hangul", 0xAC00, 0xD7AF), ("han", 0x20000, 0x323AF),
 ]
 SCRIPT_NAMES = [*dict.fromkeys(s for s, _, _ in SCRIPTS), "other"]
+LAST_LATIN = "\u024f"
 _STARTS = np.array([a for _, a, _ in SCRIPTS])
 _ENDS = np.array([b for _, _, b in SCRIPTS])
 _NUMBERS = np.array([SCRIPT_NAMES.index(s) for s, _, _ in SCRIPTS])
@@ -56,7 +57,7 @@ def letters_of(chunk: str) -> str:
 
 def script_of(word: str) -> int:
     """Number of the script of most letters, the earlier one on a tie."""
-    if word.isascii():
+    if max(word) <= LAST_LATIN:  # words are letters, and all letters up to here are Latin
         return 0
     points = np.array([ord(c) for c in word])
     at = np.searchsorted(_STARTS, points, "right") - 1
@@ -95,13 +96,13 @@ class Model:
         share = scripts / np.maximum(scripts.sum(axis=0), 1)
         self.uses = share >= SCRIPT_SHARE  # script x language
 
-    def scores(self, words: list[str]) -> np.ndarray:
+    def scores(self, words: list[str], scripts: np.ndarray) -> np.ndarray:
         """Words x languages; the best candidate at 0, languages that do not use the script far below."""
         cells, owner = grams(words)
         n = np.maximum(np.bincount(owner, minlength=len(words)), 1)
         sums = np.stack([np.bincount(owner, weights=self.logs[cells, k], minlength=len(words)) for k in range(len(self.languages))], axis=1)
         sums /= np.sqrt(n)[:, None]
-        uses = self.uses[[script_of(w) for w in words]]
+        uses = self.uses[scripts]
         sums = np.where(uses, sums, sums.min(axis=1, keepdims=True) - 100.0)
         sums -= sums.max(axis=1, keepdims=True)
         return np.where(uses.any(axis=1, keepdims=True), sums, 0).astype(np.float32)
@@ -203,8 +204,9 @@ def label(docs: DataFrame, model: Model, key: str = "doc_id", text: str = "text"
                 more = np.zeros((len(new), states), np.float32)
                 count = np.zeros(len(new), np.int64)
                 if known and states:
-                    more[known] = model.scores([words[k] for k in known])
-                    usable = model.uses[[script_of(words[k]) for k in known]].any(axis=1)
+                    scripts = np.fromiter((script_of(words[k]) for k in known), np.int64, len(known))
+                    more[known] = model.scores([words[k] for k in known], scripts)
+                    usable = model.uses[scripts].any(axis=1)
                     count[known] = np.fromiter((len(words[k]) for k in known), np.int64, len(known)) * usable
                 table, letters = np.concatenate((table, more)), np.concatenate((letters, count))
                 sizes = np.fromiter(map(len, chunks), np.int64, len(chunks))
