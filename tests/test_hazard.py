@@ -59,3 +59,12 @@ def test_batches_score_every_row(spark):
         return lambda texts, labels: [[float(len(t)) for _ in labels] for t in texts]
 
     assert H.score_batches(df, make, ["a", "b"], batch=7).count() == 100
+
+
+def test_a_label_without_priority_cannot_be_ranked(spark):
+    df = spark.createDataFrame([(1, "big wave"), (2, "sudden wave and rock")], "post_id bigint, text string")
+    dictionary = {"tsunami": ["wave"], "my label": ["rock"]}
+    got = {r.post_id: r.disaster_type for r in H.classify(df, dictionary=dictionary).collect()}
+    assert got == {1: "tsunami", 2: "other"}
+    scores = spark.createDataFrame([(1, "fire (a)", 0.9), (1, "fire (b)", 0.4)], "post_id bigint, label string, score double")
+    assert H.score_map(scores).first()["_scores"] == {"fire": 0.4}
