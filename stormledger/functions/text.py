@@ -15,7 +15,8 @@ NOT_WS = r"[^\s\x1c-\x1f]"
 
 # Patterns of the cleaning stages
 URL_PATTERN = rf"(?U)https?://{NOT_WS}+|www\.{NOT_WS}+"
-TAG_PATTERN = r"<[^>\n]*>"
+# an opening that nothing closes is matched too, and put back: else every "<" would scan on from there
+TAG_PATTERN = r"(<[^>\n]*+)(?!>)|<[^>\n]*+>"
 ENTITY_PATTERN = r"(?U)&\w+;"
 SEPARATOR_PATTERN = r"[-=*_]{3,}"
 # possessive: a group repeated greedily would take one stack frame per repetition
@@ -62,7 +63,7 @@ def strip_urls(col: Column) -> Column:
 
 
 def strip_tags(col: Column) -> Column:
-    return F.regexp_replace(col, TAG_PATTERN, "")
+    return F.regexp_replace(col, TAG_PATTERN, "$1")
 
 
 def strip_entities(col: Column) -> Column:
