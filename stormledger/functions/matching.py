@@ -1,17 +1,23 @@
-"""Substring tests against a word list.
+"""Substring tests against a word list, and names of a table found in texts.
 
-A word list becomes regular expressions with shared prefixes, of a bounded number of
-words each; texts are tested where they are, without a shuffle.
+A list in the code becomes regular expressions with shared prefixes, of a bounded number
+of words each; texts are tested where they are, without a shuffle. A table of names stays
+on Spark: a filter of fixed size picks the places of a text that may hold a name, and an
+equi-join with the table decides.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Iterable, Iterator
 from functools import reduce
 from operator import or_
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
+from stormledger.runtime import cut
+
 # words of one pattern: bounds what a task compiles at once, not what can be matched
 PATTERN_WORDS = 10_000
 
@@ -73,11 +79,196 @@ def contains_any(col: Column, words: Iterable[str]) -> Column:
     return F.coalesce(reduce(or_, [col.rlike(p) for p in patterns]), F.lit(False))
 
 
-def word_list(words: DataFrame) -> list[str]:
-    """The distinct words of a one-column table. A word list is a dimension: names and keywords."""
-    return sorted(r[0] for r in words.dropna().distinct().collect())
+# ---------------------------------------------------------------------------
+# name tables of any size
+# ---------------------------------------------------------------------------
+
+# cells of the filter sent to tasks: its size does not depend on the number of names
+CELLS_LOG2 = 24
+CHUNK = 1 << 20  # units hashed at once
+
+_BASE = 0x9E3779B97F4A7C15
+_LEAD, _WHOLE = 0, 1
+
+
+def _mixed(x: np.ndarray) -> np.ndarray:
+    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return x ^ (x >> np.uint64(31))
+
+
+def _band(n: int) -> int:
+    """Units of the beginning under which a name of ``n`` units is looked for first."""
+    return 1 << (n.bit_length() - 1)
+
+
+class _Runs:
+    """Filter cells of every run of units (words or characters) of several rows."""
+
+    def __init__(self, units: np.ndarray):
+        size = len(units)
+        powers = np.cumprod(np.concatenate([np.ones(1, np.uint64), np.full(size, _BASE, np.uint64)]))
+        self.inverse = np.cumprod(np.concatenate([np.ones(1, np.uint64), np.full(size, pow(_BASE, -1, 1 << 64), np.uint64)]))
+        self.sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(_mixed(units) * powers[:-1], dtype=np.uint64)])
+
+    def cells(self, at: np.ndarray, n, kind: int) -> np.ndarray:
+        """``n``: units of each run, one number or one per run."""
+        run = (self.sums[at + n] - self.sums[at]) * self.inverse[at]
+        seed = _mixed(np.atleast_1d(np.asarray(n, np.uint64)) * np.uint64(2) + np.uint64(kind + 1))
+        return (_mixed(run ^ seed) >> np.uint64(64 - CELLS_LOG2)).astype(np.int64)
+
+
+def _chunks(offsets: np.ndarray) -> Iterator[tuple[int, int]]:
+    """Ranges of rows of about ``CHUNK`` units each."""
+    first = 0
+    while first < len(offsets) - 1:
+        last = max(first + 1, int(np.searchsorted(offsets, offsets[first] + CHUNK, "right")) - 1)
+        yield first, last
+        first = last
+
+
+def _found(units: np.ndarray, offsets: np.ndarray, bits: np.ndarray, sizes: dict[int, list[int]]) -> tuple[np.ndarray, np.ndarray]:
+    """Starts and sizes of the runs inside a row that the filter lets through, by start."""
+    def held(cells: np.ndarray) -> np.ndarray:
+        return (bits[cells >> 3] >> (cells & 7).astype(np.uint8)) & 1 == 1
+
+    runs = _Runs(units)
+    every = np.arange(len(units))
+    left = np.repeat(offsets[1:], np.diff(offsets)) - every
+    starts, ns = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+    for band, of_band in sizes.items():
+        at = every[left >= band]
+        at = at[held(runs.cells(at, band, _LEAD))]
+        for n in of_band:
+            here = at[left[at] >= n]
+            here = here[held(runs.cells(here, n, _WHOLE))]
+            starts.append(here)
+            ns.append(np.full(len(here), n))
+    start, n = np.concatenate(starts), np.concatenate(ns)
+    order = np.lexsort((n, start))
+    return start[order], n[order]
+
+
+def _points(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
+    """Code points of the texts one after the other, and where each text begins."""
+    offsets = np.concatenate([[0], np.cumsum([len(t or "") for t in texts])]).astype(np.int64)
+    return np.frombuffer("".join(t or "" for t in texts).encode("utf-32-le", "surrogatepass"), "<u4").astype(np.uint64), offsets
+
+
+def _listed(column: pa.ListArray) -> tuple[np.ndarray, np.ndarray]:
+    offsets = column.offsets.to_numpy().astype(np.int64)
+    return column.values.to_numpy()[offsets[0]:offsets[-1]].astype(np.int64).view(np.uint64), offsets - offsets[0]
 
 
-def filter_contains_any(df: DataFrame, text_col: str, words: DataFrame) -> DataFrame:
-    """Rows of ``df`` whose lower-cased text holds any word of the ``words`` table."""
-    return df.filter(contains_any(F.lower(text_col), word_list(words)))
+class NameFilter:
+    """What tasks know of a table of names: a fixed number of bits and the sizes of its names.
+
+    Names are runs of units: hashes of words (``array<bigint>``) or characters
+    (``string``). A run the filter lets through is a name or a false positive; no
+    name is missed. The driver gets the bits and the distinct sizes, never a name.
+    """
+
+    def __init__(self, names: DataFrame, units: Column, words: bool):
+        apart = _listed if words else lambda column: _points(column.to_pylist())
+        self.words = words
+
+        @F.arrow_udf("array<bigint>")
+        def cells(column: pa.Array) -> pa.Array:
+            values, offsets = apart(column)
+            n = np.diff(offsets)
+            runs, at = _Runs(values), offsets[:-1]
+            lead = np.array([_band(int(k)) for k in n], np.int64)
+            each = np.stack([runs.cells(at, lead, _LEAD), runs.cells(at, n, _WHOLE), n], 1)
+            return pa.ListArray.from_arrays(np.arange(len(n) + 1, dtype=np.int32) * 3, pa.array(each.ravel()))
+
+        marked = names.select(cells(units).alias("c"))
+        cell = marked.select(F.explode(F.slice("c", 1, 2)).alias("cell"))
+        byte = F.shiftright("cell", 3).alias("byte")
+        bit = F.expr("shiftleft(1, CAST(cell & 7 AS int))")
+        rows = cell.groupBy(byte).agg(F.bit_or(bit).alias("bits")).toArrow()
+        bits = np.zeros(1 << (CELLS_LOG2 - 3), np.uint8)
+        bits[rows["byte"].to_numpy()] = rows["bits"].to_numpy().astype(np.uint8)
+        sizes: dict[int, list[int]] = {}
+        for r in marked.select(F.get("c", F.lit(2)).alias("n")).distinct().orderBy("n").collect():
+            sizes.setdefault(_band(r.n), []).append(r.n)
+        self.sizes = sizes
+        self.bits = names.sparkSession.sparkContext.broadcast(bits)
+
+    def runs(self, words: Column) -> Column:
+        """``array<bigint>`` of ``start * 2**32 + size`` (starts from 0) of an ``array<bigint>`` of word hashes."""
+        held, sizes = self.bits, self.sizes
+
+        @F.arrow_udf("array<bigint>")
+        def found(column: pa.Array) -> pa.Array:
+            units, offsets = _listed(column)
+            out, counts = [np.zeros(0, np.int64)], [np.zeros(1, np.int64)]
+            for first, last in _chunks(offsets):
+                here = offsets[first:last + 1] - offsets[first]
+                start, n = _found(units[offsets[first]:offsets[last]], here, held.value, sizes)
+                row = np.searchsorted(here, start, "right") - 1
+                out.append((start - here[row] << 32) + n)
+                counts.append(np.bincount(row, minlength=last - first))
+            ends = np.cumsum(np.concatenate(counts)).astype(np.int32)
+            return pa.ListArray.from_arrays(ends, pa.array(np.concatenate(out)))
+
+        return found(words)
+
+    def parts(self, text: Column) -> Column:
+        """The distinct substrings of a text that may be names; none of a null text."""
+        held, sizes = self.bits, self.sizes
+
+        @F.arrow_udf("array<string>")
+        def found(column: pa.Array) -> pa.Array:
+            texts, out = column.to_pylist(), []
+            edges = np.concatenate([[0], np.cumsum([len(t or "") for t in texts])])
+            for first, last in _chunks(edges):
+                units, here = _points(texts[first:last])
+                start, n = _found(units, here, held.value, sizes)
+                row = np.searchsorted(here, start, "right") - 1
+                of_row: list[set[str]] = [set() for _ in range(last - first)]
+                for r, i, k in zip(row.tolist(), (start - here[row]).tolist(), n.tolist(), strict=True):
+                    of_row[r].add(texts[first + r][i:i + k])
+                out += [sorted(s) for s in of_row]
+            return pa.array(out, pa.list_(pa.string()))
+
+        return found(text)
+
+
+def keep_names(found: DataFrame, names: DataFrame, key: str) -> DataFrame:
+    """Rows of the stored table ``found`` whose ``key`` is in the distinct ``names``.
+
+    A key that holds more than one partition's share of the rows is spread over all
+    partitions; there are fewer such keys than partitions.
+    """
+    parts = int(found.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    counted = found.groupBy(key).agg(F.count(F.lit(1)).alias("n"))
+    total = counted.agg(F.sum("n")).first()[0] or 0
+    hot = [r[0] for r in counted.filter(F.col("n") * parts > total).select(key).collect()]
+    spread = F.when(F.col(key).isin(hot), F.lit(parts)).otherwise(F.lit(1))
+    salted = names.select(key).withColumn("_salt", F.explode(F.sequence(F.lit(0), spread - 1)))
+    return (
+        found.withColumn("_salt", F.pmod(F.xxhash64(*found.columns), spread).cast("int"))
+        .join(salted, [key, "_salt"], "left_semi")
+        .drop("_salt")
+    )
+
+
+def filter_contains_any(df: DataFrame, text_col: str, words: DataFrame, keep: Column | None = None) -> DataFrame:
+    """Rows of ``df`` whose lower-cased text holds any word of the ``words`` table, or for which ``keep`` is true.
+
+    The table may have any size: substrings that a filter of fixed size lets through
+    are joined with it. Rows that have such substrings are written once.
+    """
+    text = F.lower(text_col)
+    keep = F.lit(False) if keep is None else F.coalesce(keep, F.lit(False))
+    listed = words.toDF("_part").dropna().distinct()
+    if not listed.filter("_part = ''").isEmpty():  # the empty word is held by every text
+        return df.filter(keep | text.isNotNull())
+    known = NameFilter(listed, F.col("_part"), words=False)
+    marked = df.withColumn("_keep", keep).withColumn("_parts", known.parts(F.when(~F.col("_keep"), text)))
+    rows = cut(
+        marked.filter(F.col("_keep") | (F.size("_parts") > 0)).withColumn("_row", F.monotonically_increasing_id()), "held"
+    )
+    held = keep_names(rows.select("_row", F.explode("_parts").alias("_part")), listed, "_part")
+    held = held.select("_row").distinct().withColumn("_held", F.lit(True))
+    return rows.join(held, "_row", "left").filter(F.col("_keep") | F.col("_held")).select(df.columns)

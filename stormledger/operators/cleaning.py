@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, Observation, functions as F
 from stormledger import dictionaries as D
 from stormledger.functions import text as X
 from stormledger.functions.columns import add_once
-from stormledger.functions.matching import contains_any, filter_contains_any, word_list
+from stormledger.functions.matching import filter_contains_any
 
 
 def choose_text(df: DataFrame) -> Column:
@@ -73,7 +73,7 @@ def keep_trusted_or_local(
 ) -> DataFrame:
     """Posts that mention a place or come from a trusted page."""
     is_trusted = F.coalesce(F.lower("page_source").isin([t.lower() for t in trusted]), F.lit(False))
-    return df.filter(is_trusted | contains_any(F.lower(text_col), word_list(vocab)))
+    return filter_contains_any(df, text_col, vocab, keep=is_trusted)
 
 
 def format_columns(df: DataFrame) -> DataFrame:

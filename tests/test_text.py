@@ -107,3 +107,31 @@ def test_stage_counts_add_up(spark):
     assert [(r.stage, r.rows_in, r.rows_out, r.dropped) for r in rows] == [
         ("input", 3, 3, 0), ("empty", 3, 2, 1), ("ones", 2, 1, 1),
     ]
+
+
+def test_long_word_tables_stay_on_spark(spark, monkeypatch):
+    from pyspark.sql.classic.dataframe import DataFrame
+
+    taken, collect = [], DataFrame.collect
+    monkeypatch.setattr(DataFrame, "collect", lambda self: taken.append(collect(self)) or taken[-1])
+    table = spark.range(60_000).select(F.concat(F.lit("name "), F.col("id").cast("string"), F.lit(".")).alias("w"))
+    texts = ["xname 59999.x", "name 60000.", "Name 7.", None, "", "name 7", "😀name 12345. name 1."]
+    df = spark.createDataFrame(list(enumerate(texts)), "i int, t string")
+    rows = filter_contains_any(df, "t", table)
+    assert max(map(len, taken), default=0) < 100
+    assert len(rows._jdf.queryExecution().toString()) < 50_000
+    assert rows.columns == ["i", "t"] and sorted(r.i for r in rows.collect()) == [0, 2, 6]
+
+
+def test_word_tables_match_as_a_plain_search_does(spark):
+    import random
+
+    rng = random.Random(3)
+    texts = ["".join(rng.choices("ab é😀", k=rng.randrange(30))) for _ in range(400)]
+    words = ["".join(rng.choices("ab é😀", k=rng.randrange(3, 12))) for _ in range(40)]
+    df = spark.createDataFrame([(i, t, i % 5 == 0) for i, t in enumerate(texts)], "i int, t string, k boolean").repartition(3)
+    table = spark.createDataFrame([(w,) for w in words * 2], "w string")
+    want = [i for i, t in enumerate(texts) if any(w in t for w in words)]
+    assert sorted(r.i for r in filter_contains_any(df, "t", table).collect()) == want
+    kept = filter_contains_any(df, "t", table, keep=F.col("k")).collect()
+    assert sorted(r.i for r in kept) == sorted({*want, *range(0, 400, 5)})
