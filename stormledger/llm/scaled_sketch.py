@@ -1,9 +1,11 @@
 """Document fingerprints: threshold-scaled sketches of word shingles.
 
-A sketch keeps every shingle hash below a fixed fraction of the hash range. Sketches
+A sketch keeps every shingle hash below a fraction of the hash range. Sketches
 of one fraction merge by union, and the share of one inside another estimates
-containment however unequal the documents are. A text of at most ``WHOLE`` shingles
-keeps them all (fraction 1); two sketches are compared below the smaller of their
+containment however unequal the documents are. The fraction is 1 as long as a text
+has fewer than ``2 * LEAST`` shingles, so its likenesses are exact; it halves for each
+doubling beyond that, with about ``LEAST`` kept hashes or more, and is never below
+one in ``2**FRACTION_LOG2``. Two sketches are compared below the smaller of their
 fractions. Equal texts have equal fingerprints.
 
 Null or empty text: an empty sketch; two empty sketches are alike (1), an empty and
@@ -27,16 +29,15 @@ from pyspark.sql.functions import pandas_udf
 
 from stormledger.llm.shingles import shingle_sets
 
-FRACTION_LOG2 = 4  # of all hashes one in 2**4 is kept
-WHOLE = 256
+FRACTION_LOG2 = 2  # of the hashes of the longest texts one in 2**2 is kept
+LEAST = 512
 _U = np.uint64
 
 
-def sketch(hashes: np.ndarray, whole: int = WHOLE, fraction_log2: int = FRACTION_LOG2) -> tuple[int, np.ndarray]:
+def sketch(hashes: np.ndarray, least: int = LEAST, fraction_log2: int = FRACTION_LOG2) -> tuple[int, np.ndarray]:
     """(fraction as a negative power of two, kept hashes in order) of the sorted distinct shingle hashes."""
-    if len(hashes) <= whole:
-        return 0, hashes
-    return fraction_log2, hashes[: np.searchsorted(hashes, _U(1 << (64 - fraction_log2)))]
+    scale = min(fraction_log2, max(0, (len(hashes) // least).bit_length() - 1))
+    return scale, _below(hashes, scale)
 
 
 def spell(scale: int, kept: np.ndarray) -> str:

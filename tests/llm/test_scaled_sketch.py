@@ -58,3 +58,35 @@ def test_columns_and_udfs(spark):
     pair = spark.createDataFrame([(prints[1], prints[2], prints[3])], "a string, b string, c string")
     r = pair.select(S.fingerprint_likeness("a", "b"), S.fingerprint_likeness("a", "c"), S.fingerprint_containment("a", "b")).first()
     assert tuple(r) == (1.0, 0.0, 1.0)
+
+
+def test_likeness_of_texts_of_all_sizes(spark):
+    def shingles(text):
+        words = text.split()
+        return {tuple(words[i:i + 5]) for i in range(max(1, len(words) - 4))}
+
+    def true(a, b):
+        return len(shingles(a) & shingles(b)) / len(shingles(a) | shingles(b))
+
+    rng = np.random.default_rng(2)
+    texts = []
+    for n in [200, 250, 257, 300, 300, 400, 500, 700, 1000, 1500, 2000] * 4:
+        words = [f"w{k}" for k in rng.integers(0, 5_000, n)]
+        texts.append(" ".join(words))
+        for part in (10, 3):  # a near copy and a third of it replaced
+            texts.append(" ".join([f"x{k}" for k in rng.integers(0, 5_000, n // part)] + words[n // part:]))
+    got = {r.doc_id: r for r in S.edited_fingerprints(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()}
+    for k, text in enumerate(texts):
+        after = texts[k - 1]  # falling doc_id; behind the last comes the first
+        half = len(text) // 2
+        exact = len(text.split()) < 900 and len(after.split()) < 900
+        for value, other in ((got[k].near_edited, text[: len(text) - half] + after[:half]), (got[k].near_next, after)):
+            assert abs(value - true(text, other)) < (1e-9 if exact else 0.07)
+
+
+def test_longer_texts_keep_nested_fractions():
+    hashes = np.unique(np.random.default_rng(4).integers(0, 2**64, 40_000, dtype=np.uint64))
+    picks = np.random.default_rng(5).permutation(hashes)
+    for n, scale in ((0, 0), (1_023, 0), (1_024, 1), (2_047, 1), (2_048, 2), (40_000, 2)):
+        own = S.sketch(np.sort(picks[:n]))
+        assert own[0] == scale and (len(own[1]) == n or len(own[1]) > 430)
