@@ -46,3 +46,15 @@ def test_run_with_skipped_stages(spark, tmp_path):
     assert rows["location"] == (False, None) and rows["classify"][1] == first.final.count()
     with pytest.raises(ValueError):
         run(*inputs, "2025-10-27 21:40:00", skip=("location",))
+
+
+def test_min_words_of_documents_reads_whole_texts(spark):
+    con = duckdb.connect()
+    con.execute(f"create view documents as select * from '{SF}/documents.parquet'")
+    got = entry.queries()["min_words_of_documents"](spark, SF).toPandas()
+    kept = sorted((i, t) for i, t in zip(got["doc_id"], got["kept"]) if t is not None)
+    want = con.execute(entry.oracle_sql()["min_words_of_documents"]).fetchall()
+    assert kept == sorted(r for r in want if r[1] is not None) and len(got) == len(want)
+    texts = con.execute("select doc_id, text from documents").fetchall()
+    assert len(got) == 2 * len(texts)
+    assert {r for r in texts if len(r[1].split()) >= 3} <= set(kept)
