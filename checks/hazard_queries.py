@@ -76,7 +76,13 @@ def _priority_sql(expr: str) -> str:
 
 _POSTS = f"SELECT post_id, text FROM ({V.POSTS})"
 _HITS = f"SELECT post_id, label, count(*) AS n FROM ({sql_hits(_POSTS, 'post_id', D.HAZARD_KEYWORDS)}) GROUP BY 1, 2"
-_BASE = f"SELECT post_id, lower(split_part(label, ' (', 1)) AS label, score FROM ({V.SCORES})"
+
+
+def _base(scores: str) -> str:
+    return f"SELECT post_id, lower(split_part(label, ' (', 1)) AS label, score FROM ({scores})"
+
+
+_BASE, _ALL_BASE = _base(V.SCORES), _base(V.ALL_SCORES)
 
 
 def _by_keyword(scores: str) -> str:
@@ -87,13 +93,17 @@ SELECT post_id, label AS disaster_type FROM (
   FROM ({_HITS}) h LEFT JOIN ({scores}) s ON h.post_id = s.post_id AND h.label = s.label) WHERE r = 1"""
 
 
-_BY_MODEL = f"""
+def _by_model(base: str) -> str:
+    return f"""
 SELECT post_id, CASE WHEN top - coalesce(second, 0) < CAST(0.08 AS DOUBLE) OR top < CAST(0.8 AS DOUBLE) OR top < CAST(0.25 AS DOUBLE)
   THEN 'other' ELSE best END AS disaster_type
 FROM (SELECT post_id, max(CASE WHEN r = 1 THEN score END) AS top, max(CASE WHEN r = 2 THEN score END) AS second,
     max(CASE WHEN r = 1 THEN label END) AS best
-  FROM (SELECT *, row_number() OVER (PARTITION BY post_id ORDER BY score DESC, {_priority_sql('label')}) AS r FROM ({_BASE}))
+  FROM (SELECT *, row_number() OVER (PARTITION BY post_id ORDER BY score DESC, {_priority_sql('label')}) AS r FROM ({base}))
   GROUP BY 1)"""
+
+
+_BY_MODEL = _by_model(_BASE)
 _CLASSIFIED = f"""
 SELECT p.post_id, coalesce(k.disaster_type, m.disaster_type, 'other') AS disaster_type FROM ({_POSTS}) p
 LEFT JOIN ({_by_keyword(_BASE)}) k ON p.post_id = k.post_id LEFT JOIN ({_BY_MODEL}) m ON p.post_id = m.post_id"""
@@ -121,6 +131,12 @@ def _(spark, d):
     return maps.select("post_id", H.model_only_label(F.col("_scores")).alias("disaster_type"))
 
 
+@query("model_only_label_of_all_orders", _by_model(_ALL_BASE))
+def _(spark, d):
+    maps = H.score_map(V.all_scores(spark, d))
+    return maps.select("post_id", H.model_only_label(F.col("_scores")).alias("disaster_type"))
+
+
 @query("base_label_counts", f"SELECT label, count(*) AS n_rows, max(score) AS top FROM ({_BASE}) GROUP BY 1")
 def _(spark, d):
     return (
@@ -129,6 +145,14 @@ def _(spark, d):
     )
 
 
+@query("base_label_counts_of_all_orders", f"SELECT label, count(*) AS n_rows, max(score) AS top FROM ({_ALL_BASE}) GROUP BY 1")
+def _(spark, d):
+    return (
+        V.all_scores(spark, d).groupBy(H.base_label(F.col("label")).alias("label"))
+        .agg(F.count(F.lit(1)).alias("n_rows"), F.max("score").alias("top"))
+    )
+
+
 @query("label_counts", f"SELECT disaster_type, count(*) AS n_rows FROM ({_CLASSIFIED}) GROUP BY 1")
 def _(spark, d):
     return H.label_counts(H.classify(V.posts(spark, d), V.scores(spark, d), text_col="text"))

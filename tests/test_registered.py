@@ -58,3 +58,19 @@ def test_min_words_of_documents_reads_whole_texts(spark):
     texts = con.execute("select doc_id, text from documents").fetchall()
     assert len(got) == 2 * len(texts)
     assert {r for r in texts if len(r[1].split()) >= 3} <= set(kept)
+
+
+def test_scores_of_all_orders(spark):
+    con = duckdb.connect()
+    con.execute(f"create view orders as select * from '{SF}/orders.parquet'")
+    orders = [r[0] for r in con.execute("select o_orderkey from orders order by 1").fetchall()]
+    got = {}
+    for name in ("load_scores", "model_only_label", "base_label_counts"):
+        name += "_of_all_orders"
+        got[name] = sorted(tuple(r) for r in entry.queries()[name](spark, SF).collect())
+        assert got[name] == sorted(con.execute(entry.oracle_sql()[name]).fetchall())
+    assert sorted({r[0] for r in got["load_scores_of_all_orders"]}) == orders
+    assert [r[0] for r in got["model_only_label_of_all_orders"]] == orders
+    assert sum(r[1] for r in got["base_label_counts_of_all_orders"]) == 8 * len(orders)
+    part = {tuple(r) for r in entry.queries()["load_scores"](spark, SF).collect()}
+    assert part < set(got["load_scores_of_all_orders"])
