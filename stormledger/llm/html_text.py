@@ -32,6 +32,8 @@ from pyspark.sql import DataFrame, functions as F
 
 WIDEST_PADDING = 60
 MOST_SPAN = 1000  # as browsers have it
+MOST_ROWS = 65534  # as browsers have it
+ROW_GROUPS = frozenset(("thead", "tbody", "tfoot"))
 
 # FIXED VALUES: element names by their role in the HTML standard
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -267,26 +269,52 @@ def _number(text: str | None, default: int) -> int:
     return int(found[1]) if found else default
 
 
-def _table_lines(rows: list[list[tuple[int, list[str]]]]) -> list[str]:
-    """Rows of (columns spanned, lines) with the cells of a column one below the other."""
+def _placed(rows: list[list[tuple[int, int, list[str]]] | None]) -> list[list[tuple[int, int, list[str]]]]:
+    """Rows of (column, columns spanned, lines); columns that a cell of a row above takes are passed over."""
+    out, taken = [], []  # (first column, column past the last, row past the last), in order
+    for at, row in enumerate(rows):
+        if row is None:  # no cell reaches beyond its row group
+            taken = []
+            continue
+        taken = [t for t in taken if t[2] > at]
+        cells, more, column, k = [], [], 0, 0
+        for span, down, lines in row:
+            while k < len(taken) and taken[k][0] <= column:
+                column = max(column, taken[k][1])
+                k += 1
+            cells.append((column, span, lines))
+            if down != 1:
+                first, until = column, at + down if down else len(rows)
+                if more and more[-1][1:] == (column, until):
+                    first = more.pop()[0]
+                more.append((first, column + span, until))
+            column += span
+        taken = sorted(taken + more) if more else taken
+        out.append(cells)
+    return out
+
+
+def _table_lines(rows: list[list[tuple[int, int, list[str]]] | None]) -> list[str]:
+    """Rows of (columns spanned, rows spanned or 0 for all of the group, lines) with the cells of a column one
+    below the other; None parts row groups."""
     widths: list[int] = []
-    for row in rows:
-        column = 0
-        for span, lines in row:
+    placed = _placed(rows)
+    for row in placed:
+        for column, span, lines in row:
             while len(widths) < column + span:
                 widths.append(0)
             if span == 1:
                 widths[column] = max(widths[column], min(WIDEST_PADDING, max(map(len, lines), default=0)))
-            column += span
     out = []
-    for row in rows:
-        for k in range(max((len(lines) for _, lines in row), default=0)):
-            parts, column, place = [], 0, 0
-            for span, lines in row:
+    for row in placed:
+        for k in range(max((len(lines) for _, _, lines in row), default=0)):
+            parts, reached = [], 0
+            for column, span, lines in row:
+                parts.append(" " * (sum(widths[reached:column]) + 2 * (column - reached)) if column > reached else "")
                 piece = lines[k] if k < len(lines) else ""
                 room = sum(widths[column : column + span]) + 2 * (span - 1)
                 parts.append(piece.ljust(room) + "  ")
-                column += span
+                reached = column + span
             out.append("".join(parts).rstrip())
     return [line for line in out if line]
 
@@ -363,11 +391,13 @@ def render(page: str) -> str:
                     pass
 
             elif tag in ("td", "th") and rows_of:
-                if not rows_of[-1]:
+                if not rows_of[-1] or rows_of[-1][-1] is None:
                     rows_of[-1].append([])
+                down = _number(node.attribute("rowspan"), 1)
+                down = 1 if down < 0 else min(MOST_ROWS, down)
 
-                def done(own=own, row=rows_of[-1][-1], span=min(MOST_SPAN, max(1, _number(node.attribute("colspan"), 1)))):
-                    row.append((span, own.finish()))
+                def done(own=own, row=rows_of[-1][-1], span=min(MOST_SPAN, max(1, _number(node.attribute("colspan"), 1))), down=down):
+                    row.append((span, down, own.finish()))
 
             elif tag == "li":
                 mark = node.attributes[1:] if node.attributes.startswith("\0") else "* "
@@ -388,6 +418,9 @@ def render(page: str) -> str:
                     flow.space(blank)
 
             steps.append(done)
+        if tag in ROW_GROUPS and rows_of:
+            rows_of[-1].append(None)
+            steps.append(lambda rows=rows_of[-1]: rows.append(None))
         if tag in ("ul", "menu", "dir", "ol"):
             depth += 1
             if tag == "ol":

@@ -68,6 +68,17 @@ def test_same_words_as_a_plain_parser(spark):
         assert got == [w for w in "".join(plain.out).split() if w != "*"] or not page.rstrip().endswith("</html>")
 
 
+def test_same_words_on_cut_off_pages(spark):
+    pages = [r[0] for r in spark.read.parquet("/root/testdata/sf0.01/pages.parquet").select("html").collect()]
+    cut = [page for page in pages if not page.rstrip().endswith("</html>")]
+    assert len(cut) > 20
+    for page in cut:
+        plain = Words()
+        plain.feed(page)
+        plain.close()
+        assert [w for w in H.render(page).split() if w != "*"] == [w for w in "".join(plain.out).split() if w != "*"]
+
+
 def test_deep_and_long_pages():
     deep = "<div><ul><li>" * 2_000 + "<div><span>" * 20_000 + "core"
     assert H.render(deep).endswith("core")
@@ -76,6 +87,22 @@ def test_deep_and_long_pages():
     assert H.render("<a " + "x" * 1_000_000) == "" and H.render("<" * 100_000).count("<") == 100_000
 
 
+ROWSPANS = {
+    "<table><tr><th>Region<th>Town<th>N<tr><td rowspan=2>North<td>Aba<td>1<tr><td>Bo<td>22<tr><td>South<td>Cy<td>3</table>":
+        "Region  Town  N\nNorth   Aba   1\n        Bo    22\nSouth   Cy    3",
+    "<table><tr><td>a<td rowspan=0>b<td>c<tr><td>d<td>e<tr><td>f<td>g</table>": "a  b  c\nd     e\nf     g",
+    "<table><tr><td rowspan=2 colspan=2>wide<td>x<tr><td>y<tr><td>p<td>q<td>z</table>": "wide  x\n      y\np  q  z",
+    "<table><tbody><tr><td rowspan=9>a<td>b</tbody><tbody><tr><td>c<td>d</table>": "a  b\nc  d",
+    "<table><tr><td rowspan=-1>a<td rowspan=x>b<tr><td>c<td>d</table>": "a  b\nc  d",
+    "<table><tr><td rowspan=3>a<td rowspan=2>b<td>c<tr><td>d<tr><td>e<td>f</table>": "a  b  c\n      d\n   e  f",
+}
+
+
+@pytest.mark.parametrize("page", ROWSPANS)
+def test_cells_below_a_rowspan_keep_their_column(page):
+    assert H.render(page) == ROWSPANS[page]
+
+
 def test_nulls_repeats_empty_table_other_columns(spark):
     pages = spark.createDataFrame([(1, None, "k"), (1, "<p>a", "k"), (None, "", "k"), (1, "<p>a", "k")], "page_id long, html string, text string")
     got = H.visible_text(pages)
