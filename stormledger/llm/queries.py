@@ -7,7 +7,9 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from stormledger.llm import bpe, chat, html_text, importance, language, line_dedup, mixing, ngram_join, scaled_sketch, topk
+from stormledger.llm import (
+    bpe, chat, collocations, html_text, importance, language, line_dedup, mixing, ngram_join, scaled_sketch, spelling, topk, toxicity,
+)
 
 QUERIES, ORACLE = {}, {}
 
@@ -143,3 +145,49 @@ def _(spark, d):
 @query("op2_html_layout_text")
 def _(spark, d):
     return html_text.visible_text(table(spark, d, "pages"))
+
+
+@query("op11_toxicity")
+def _(spark, d):
+    docs, labels = table(spark, d, "documents"), table(spark, d, "labels")
+    held_out = F.crc32(F.col("doc_id").cast("string")) % 5 == 0
+    out = toxicity.score(docs, toxicity.learn(docs.filter(~held_out), labels.filter(~held_out)))
+    predicted = (F.col("score") >= 0.5).cast("int")
+    return out.select("doc_id", F.coalesce(held_out, F.lit(False)).alias("held_out"), "score", predicted.alias("predicted"), "spans")
+
+
+_PHRASE_SQL = """
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang,
+         unnest(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                      '[.,;:!?\\x0A-\\x0D]')) AS piece FROM documents),
+words AS (SELECT lang, regexp_extract_all(piece, '[^\\x20\\x09]+') AS w FROM pieces),
+grams AS (
+  SELECT lang, unnest(flatten([[w[p : p + k - 1] for p in range(1, len(w) - k + 2)] for k in range(1, 5)])) AS g FROM words),
+f AS (SELECT lang, g, count(*) AS f FROM grams GROUP BY lang, g HAVING count(*) >= 30 OR len(g) = 1),
+totals AS (SELECT lang, CAST(sum(f) AS bigint) AS n FROM f WHERE len(g) = 1 GROUP BY lang),
+cands AS (SELECT lang, g, f AS a FROM f WHERE len(g) > 1),
+cuts AS (SELECT lang, g, a, unnest(range(1, len(g))) AS k FROM cands),
+scores AS (
+  SELECT c.lang, c.g, c.a, k, x.f AS l, y.f AS r, CAST(CAST(2000000 AS hugeint) * c.a // (CAST(x.f AS hugeint) + y.f) AS bigint) AS score
+  FROM cuts c JOIN f x ON x.lang = c.lang AND x.g = c.g[1 : k] JOIN f y ON y.lang = c.lang AND y.g = c.g[k + 1 : len(c.g)]),
+best AS (SELECT lang, g, a, arg_min({'l': l, 'r': r, 'score': score}, {'s': score, 'k': k}) AS cut FROM scores GROUP BY lang, g, a),
+parts AS (
+  SELECT lang, a AS m, unnest(flatten([[g[p : p + k - 1] for p in range(1, len(g) - k + 2)] for k in range(2, len(g))])) AS g
+  FROM cands WHERE len(g) > 2),
+gone AS (SELECT DISTINCT c.lang, c.g FROM cands c JOIN parts p ON p.lang = c.lang AND p.g = c.g WHERE 100 * p.m >= 80 * c.a),
+named AS (
+  SELECT lang, array_to_string(g, ' ') AS phrase, a, cut.l AS l, cut.r AS r, cut.score AS score
+  FROM best ANTI JOIN gone USING (lang, g)),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM named)
+SELECT lang, rank, phrase, a, l, r, n, score FROM ranked JOIN totals USING (lang) WHERE rank <= 2000"""
+
+
+@query("op12_collocations", _PHRASE_SQL)
+def _(spark, d):
+    return collocations.top_phrases(table(spark, d, "documents"))
+
+
+@query("op13_spelling_variants")
+def _(spark, d):
+    return spelling.spelling_groups(table(spark, d, "documents"))
