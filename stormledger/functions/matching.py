@@ -2,21 +2,24 @@
 
 A list in the code becomes regular expressions with shared prefixes, of a bounded number
 of words each; texts are tested where they are, without a shuffle. A table of names stays
-on Spark: a filter of fixed size picks the places of a text that may hold a name, and an
-equi-join with the table decides.
+on Spark: filters pick the places of a text that may hold a name, and an equi-join with
+the table decides. A filter has ``BITS_A_NAME`` bits for each name up to a fixed size;
+a larger table is dealt by hash into shards, each with its own filter and its own pass over
+the texts, so what is sent to a task stays bounded and few false places are written at any size.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from functools import reduce
 from operator import or_
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from stormledger.runtime import cut
+from stormledger.runtime import cut_all, cut_at, drop_scratch
 
 # words of one pattern: bounds what a task compiles at once, not what can be matched
 PATTERN_WORDS = 10_000
@@ -83,8 +86,12 @@ def contains_any(col: Column, words: Iterable[str]) -> Column:
 # name tables of any size
 # ---------------------------------------------------------------------------
 
-# cells of the filter sent to tasks: its size does not depend on the number of names
-CELLS_LOG2 = 24
+BITS_A_NAME = 64
+# bits of one filter: what a task is sent at once, whatever the number of names
+MOST_BITS_LOG2 = 27
+LEAST_BITS_LOG2 = 12
+# cells of a name: one of its beginning, the others of the whole
+WHOLE_CELLS = 3
 CHUNK = 1 << 20  # units hashed at once
 
 _BASE = 0x9E3779B97F4A7C15
@@ -103,7 +110,7 @@ def _band(n: int) -> int:
 
 
 class _Runs:
-    """Filter cells of every run of units (words or characters) of several rows."""
+    """Hashes of runs of units (words or characters) of several rows."""
 
     def __init__(self, units: np.ndarray):
         size = len(units)
@@ -111,11 +118,32 @@ class _Runs:
         self.inverse = np.cumprod(np.concatenate([np.ones(1, np.uint64), np.full(size, pow(_BASE, -1, 1 << 64), np.uint64)]))
         self.sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(_mixed(units) * powers[:-1], dtype=np.uint64)])
 
-    def cells(self, at: np.ndarray, n, kind: int) -> np.ndarray:
+    def hashes(self, at: np.ndarray, n, kind: int) -> np.ndarray:
         """``n``: units of each run, one number or one per run."""
         run = (self.sums[at + n] - self.sums[at]) * self.inverse[at]
         seed = _mixed(np.atleast_1d(np.asarray(n, np.uint64)) * np.uint64(2) + np.uint64(kind + 1))
-        return (_mixed(run ^ seed) >> np.uint64(64 - CELLS_LOG2)).astype(np.int64)
+        return _mixed(run ^ seed)
+
+
+class Shard(NamedTuple):
+    """What a task knows of one shard of a table of names."""
+
+    number: int
+    shards: int
+    log2: int  # of the bits
+    words: np.ndarray  # the bits, 64 in each
+    sizes: dict[int, list[int]]  # sizes of names, by the beginning under which they are looked for
+
+    def holds(self, cells: np.ndarray) -> np.ndarray:
+        return (self.words[cells >> 6] >> (cells & 63)) & 1 == 1
+
+
+def _shard_of(whole: np.ndarray, shards: int) -> np.ndarray:
+    return (whole % np.uint64(shards)).astype(np.int64)
+
+
+def _cell(hashes: np.ndarray, log2: int, k: int = 0) -> np.ndarray:
+    return (_mixed(hashes + np.uint64(k)) >> np.uint64(64 - log2)).astype(np.int64)
 
 
 def _chunks(offsets: np.ndarray) -> Iterator[tuple[int, int]]:
@@ -127,21 +155,21 @@ def _chunks(offsets: np.ndarray) -> Iterator[tuple[int, int]]:
         first = last
 
 
-def _found(units: np.ndarray, offsets: np.ndarray, bits: np.ndarray, sizes: dict[int, list[int]]) -> tuple[np.ndarray, np.ndarray]:
-    """Starts and sizes of the runs inside a row that the filter lets through, by start."""
-    def held(cells: np.ndarray) -> np.ndarray:
-        return (bits[cells >> 3] >> (cells & 7).astype(np.uint8)) & 1 == 1
-
+def _found(units: np.ndarray, offsets: np.ndarray, shard: Shard) -> tuple[np.ndarray, np.ndarray]:
+    """Starts and sizes of the runs inside a row that the shard's filter lets through, by start."""
     runs = _Runs(units)
     every = np.arange(len(units))
     left = np.repeat(offsets[1:], np.diff(offsets)) - every
     starts, ns = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
-    for band, of_band in sizes.items():
+    for band, of_band in shard.sizes.items():
         at = every[left >= band]
-        at = at[held(runs.cells(at, band, _LEAD))]
+        at = at[shard.holds(_cell(runs.hashes(at, band, _LEAD), shard.log2))]
         for n in of_band:
             here = at[left[at] >= n]
-            here = here[held(runs.cells(here, n, _WHOLE))]
+            whole = runs.hashes(here, n, _WHOLE)
+            for k in range(WHOLE_CELLS + 1):
+                ok = _shard_of(whole, shard.shards) == shard.number if not k else shard.holds(_cell(whole, shard.log2, k))
+                here, whole = here[ok], whole[ok]
             starts.append(here)
             ns.append(np.full(len(here), n))
     start, n = np.concatenate(starts), np.concatenate(ns)
@@ -160,115 +188,148 @@ def _listed(column: pa.ListArray) -> tuple[np.ndarray, np.ndarray]:
     return column.values.to_numpy()[offsets[0]:offsets[-1]].astype(np.int64).view(np.uint64), offsets - offsets[0]
 
 
-class NameFilter:
-    """What tasks know of a table of names: a fixed number of bits and the sizes of its names.
+def _marks(names: DataFrame, units: Column, words: bool, shards: int, log2: int) -> DataFrame:
+    """(shard, place, bits): the filters' 64-bit words that are not 0."""
+    apart = _listed if words else lambda column: _points(column.to_pylist())
 
-    Names are runs of units: hashes of words (``array<bigint>``) or characters
-    (``string``). A run the filter lets through is a name or a false positive; no
-    name is missed. The driver gets the bits and the distinct sizes, never a name.
-    """
-
-    def __init__(self, names: DataFrame, units: Column, words: bool):
-        apart = _listed if words else lambda column: _points(column.to_pylist())
-        self.words = words
-
-        @F.arrow_udf("array<bigint>")
-        def cells(column: pa.Array) -> pa.Array:
-            values, offsets = apart(column)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            values, offsets = apart(batch.column(0))
             n = np.diff(offsets)
             runs, at = _Runs(values), offsets[:-1]
             lead = np.array([_band(int(k)) for k in n], np.int64)
-            each = np.stack([runs.cells(at, lead, _LEAD), runs.cells(at, n, _WHOLE), n], 1)
-            return pa.ListArray.from_arrays(np.arange(len(n) + 1, dtype=np.int32) * 3, pa.array(each.ravel()))
-
-        marked = names.select(cells(units).alias("c"))
-        cell = marked.select(F.explode(F.slice("c", 1, 2)).alias("cell"))
-        byte = F.shiftright("cell", 3).alias("byte")
-        bit = F.expr("shiftleft(1, CAST(cell & 7 AS int))")
-        rows = cell.groupBy(byte).agg(F.bit_or(bit).alias("bits")).toArrow()
-        bits = np.zeros(1 << (CELLS_LOG2 - 3), np.uint8)
-        bits[rows["byte"].to_numpy()] = rows["bits"].to_numpy().astype(np.uint8)
-        sizes: dict[int, list[int]] = {}
-        for r in marked.select(F.get("c", F.lit(2)).alias("n")).distinct().orderBy("n").collect():
-            sizes.setdefault(_band(r.n), []).append(r.n)
-        self.sizes = sizes
-        self.bits = names.sparkSession.sparkContext.broadcast(bits)
-
-    def runs(self, words: Column) -> Column:
-        """``array<bigint>`` of ``start * 2**32 + size`` (starts from 0) of an ``array<bigint>`` of word hashes."""
-        held, sizes = self.bits, self.sizes
-
-        @F.arrow_udf("array<bigint>")
-        def found(column: pa.Array) -> pa.Array:
-            units, offsets = _listed(column)
-            out, counts = [np.zeros(0, np.int64)], [np.zeros(1, np.int64)]
-            for first, last in _chunks(offsets):
-                here = offsets[first:last + 1] - offsets[first]
-                start, n = _found(units[offsets[first]:offsets[last]], here, held.value, sizes)
-                row = np.searchsorted(here, start, "right") - 1
-                out.append((start - here[row] << 32) + n)
-                counts.append(np.bincount(row, minlength=last - first))
-            ends = np.cumsum(np.concatenate(counts)).astype(np.int32)
-            return pa.ListArray.from_arrays(ends, pa.array(np.concatenate(out)))
-
-        return found(words)
-
-    def parts(self, text: Column) -> Column:
-        """The distinct substrings of a text that may be names; none of a null text."""
-        held, sizes = self.bits, self.sizes
-
-        @F.arrow_udf("array<string>")
-        def found(column: pa.Array) -> pa.Array:
-            texts, out = column.to_pylist(), []
-            edges = np.concatenate([[0], np.cumsum([len(t or "") for t in texts])])
-            for first, last in _chunks(edges):
-                units, here = _points(texts[first:last])
-                start, n = _found(units, here, held.value, sizes)
-                row = np.searchsorted(here, start, "right") - 1
-                of_row: list[set[str]] = [set() for _ in range(last - first)]
-                for r, i, k in zip(row.tolist(), (start - here[row]).tolist(), n.tolist(), strict=True):
-                    of_row[r].add(texts[first + r][i:i + k])
-                out += [sorted(s) for s in of_row]
-            return pa.array(out, pa.list_(pa.string()))
-
-        return found(text)
+            whole = runs.hashes(at, n, _WHOLE)
+            cells = [_cell(runs.hashes(at, lead, _LEAD), log2), *(_cell(whole, log2, k) for k in range(1, WHOLE_CELLS + 1))]
+            cells, shard = np.concatenate(cells), np.tile(_shard_of(whole, shards), WHOLE_CELLS + 1)
+            place = (shard << (log2 - 6)) + (cells >> 6)
+            order = np.argsort(place, kind="stable")
+            first = np.flatnonzero(np.diff(place[order], prepend=-1))
+            bits = np.left_shift(np.uint64(1), (cells & 63).astype(np.uint64))[order]
+            bits = np.bitwise_or.reduceat(bits, first) if len(first) else bits
+            place = place[order[first]]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(place >> (log2 - 6)), pa.array(place & ((1 << (log2 - 6)) - 1)), pa.array(bits.view(np.int64))], ["shard", "place", "bits"]
+            )
+
+    marked = names.select(units.alias("units")).mapInArrow(run, "shard long, place long, bits long")
+    return marked.groupBy("shard", "place").agg(F.bit_or("bits").alias("bits"))
+
+
+def _shards(names: DataFrame, units: Column, words: bool) -> Iterator[Shard]:
+    """The shards of a table of names, one at a time; the driver gets bits and sizes, never a name."""
+    size = F.size(units) if words else F.char_length(units)
+    n, found = names.agg(F.count(units), F.sort_array(F.collect_set(size))).first()
+    sizes: dict[int, list[int]] = {}
+    for k in found:
+        sizes.setdefault(_band(k), []).append(k)
+    shards = max(1, -(-n * BITS_A_NAME >> MOST_BITS_LOG2))
+    log2 = min(MOST_BITS_LOG2, max(LEAST_BITS_LOG2, (n * BITS_A_NAME // shards).bit_length()))
+    marks, path = _marks(names, units, words, shards, log2), None
+    if shards > 1:  # the bits of all shards are made in one pass
+        marks, path = cut_at(marks, "name-bits")
+    for number in range(shards):
+        rows = marks.filter(F.col("shard") == number).select("place", "bits").toArrow()
+        held = np.zeros(1 << (log2 - 6), np.int64)
+        held[rows["place"].to_numpy()] = rows["bits"].to_numpy()
+        yield Shard(number, shards, log2, held, sizes)
+    if path:
+        drop_scratch(names.sparkSession, path)
+
+
+def _word_runs(held) -> Callable[[pa.Array], pa.Array]:
+    def found(column: pa.Array) -> pa.Array:
+        units, offsets = _listed(column)
+        out, counts = [np.zeros(0, np.int64)], [np.zeros(1, np.int64)]
+        for first, last in _chunks(offsets):
+            here = offsets[first:last + 1] - offsets[first]
+            start, n = _found(units[offsets[first]:offsets[last]], here, held.value)
+            row = np.searchsorted(here, start, "right") - 1
+            out.append((start - here[row] << 32) + n)
+            counts.append(np.bincount(row, minlength=last - first))
+        ends = np.cumsum(np.concatenate(counts)).astype(np.int32)
+        return pa.ListArray.from_arrays(ends, pa.array(np.concatenate(out)))
+
+    return found
+
+
+def _text_parts(held) -> Callable[[pa.Array], pa.Array]:
+    def found(column: pa.Array) -> pa.Array:
+        texts, out = column.to_pylist(), []
+        edges = np.concatenate([[0], np.cumsum([len(t or "") for t in texts])])
+        for first, last in _chunks(edges):
+            units, here = _points(texts[first:last])
+            start, n = _found(units, here, held.value)
+            row = np.searchsorted(here, start, "right") - 1
+            of_row: list[set[str]] = [set() for _ in range(last - first)]
+            for r, i, k in zip(row.tolist(), (start - here[row]).tolist(), n.tolist(), strict=True):
+                of_row[r].add(texts[first + r][i:i + k])
+            out += [sorted(s) for s in of_row]
+        return pa.array(out, pa.list_(pa.string()))
+
+    return found
+
+
+def scan_names(
+    names: DataFrame, name_units: Column, words: bool, places: Callable[[Callable[[Column], Column]], DataFrame], label: str
+) -> DataFrame:
+    """What the filters of a table of names let through, written once, one pass for each shard.
+
+    Names are runs of units: hashes of words (``array<bigint>``) or characters (``string``). No name is
+    missed. ``places`` gets a Column function that names the runs of a row and returns the rows
+    to write; the function gives, for an array of word hashes, ``array<bigint>`` of
+    ``start * 2**32 + size`` (starts from 0), and for a text its distinct substrings.
+    """
+    def frames() -> Iterator[DataFrame]:
+        for shard in _shards(names, name_units, words):
+            held = names.sparkSession.sparkContext.broadcast(shard)
+            found = F.arrow_udf("array<bigint>")(_word_runs(held)) if words else F.arrow_udf("array<string>")(_text_parts(held))
+            yield places(found)
+            held.unpersist()
 
+    return cut_all(frames(), label)
 
-def keep_names(found: DataFrame, names: DataFrame, key: str) -> DataFrame:
-    """Rows of the stored table ``found`` whose ``key`` is in the distinct ``names``.
+
+def join_names(found: DataFrame, names: DataFrame, key: str, how: str = "inner") -> DataFrame:
+    """Rows of the stored table ``found`` joined with the rows of ``names`` of the same ``key``.
 
     A key that holds more than one partition's share of the rows is spread over all
     partitions; there are fewer such keys than partitions.
     """
     parts = int(found.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     counted = found.groupBy(key).agg(F.count(F.lit(1)).alias("n"))
-    total = counted.agg(F.sum("n")).first()[0] or 0
-    hot = [r[0] for r in counted.filter(F.col("n") * parts > total).select(key).collect()]
+    hot = [r[0] for r in counted.filter(F.col("n") * parts > found.count()).select(key).collect()]
     spread = F.when(F.col(key).isin(hot), F.lit(parts)).otherwise(F.lit(1))
-    salted = names.select(key).withColumn("_salt", F.explode(F.sequence(F.lit(0), spread - 1)))
+    salted = names.withColumn("_salt", F.explode(F.sequence(F.lit(0), spread - 1)))
     return (
         found.withColumn("_salt", F.pmod(F.xxhash64(*found.columns), spread).cast("int"))
-        .join(salted, [key, "_salt"], "left_semi")
+        .join(salted, [key, "_salt"], how)
         .drop("_salt")
     )
 
 
+def keep_names(found: DataFrame, names: DataFrame, key: str) -> DataFrame:
+    """Rows of the stored table ``found`` whose ``key`` is in the distinct ``names``; see ``join_names``."""
+    return join_names(found, names.select(key), key, "left_semi")
+
+
 def filter_contains_any(df: DataFrame, text_col: str, words: DataFrame, keep: Column | None = None) -> DataFrame:
     """Rows of ``df`` whose lower-cased text holds any word of the ``words`` table, or for which ``keep`` is true.
 
-    The table may have any size: substrings that a filter of fixed size lets through
-    are joined with it. Rows that have such substrings are written once.
+    The table may have any size: substrings that its filters let through are joined with it, under
+    a 128-bit hash of their text. Only these narrow rows are written; ``df`` is read again
+    and keeps the rows whose text's hash was found.
     """
     text = F.lower(text_col)
     keep = F.lit(False) if keep is None else F.coalesce(keep, F.lit(False))
     listed = words.toDF("_part").dropna().distinct()
     if not listed.filter("_part = ''").isEmpty():  # the empty word is held by every text
         return df.filter(keep | text.isNotNull())
-    known = NameFilter(listed, F.col("_part"), words=False)
-    marked = df.withColumn("_keep", keep).withColumn("_parts", known.parts(F.when(~F.col("_keep"), text)))
-    rows = cut(
-        marked.filter(F.col("_keep") | (F.size("_parts") > 0)).withColumn("_row", F.monotonically_increasing_id()), "held"
+    mark = [F.xxhash64(text), F.xxhash64(text, F.lit(1))]
+    slim = df.filter(~keep & text.isNotNull()).select(*[m.alias(f"_m{k}") for k, m in enumerate(mark)], text.alias("_text"))
+    found = scan_names(
+        listed, F.col("_part"), False,
+        lambda parts: slim.select("_m0", "_m1", F.explode(parts(F.col("_text"))).alias("_part")), "held",
     )
-    held = keep_names(rows.select("_row", F.explode("_parts").alias("_part")), listed, "_part")
-    held = held.select("_row").distinct().withColumn("_held", F.lit(True))
-    return rows.join(held, "_row", "left").filter(F.col("_keep") | F.col("_held")).select(df.columns)
+    held = keep_names(found, listed, "_part").select("_m0", "_m1").distinct()
+    met = df.join(held, (mark[0] == F.col("_m0")) & (mark[1] == F.col("_m1")), "left")
+    return met.filter(keep | F.col("_m0").isNotNull()).select(*[df[c] for c in df.columns])

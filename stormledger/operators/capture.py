@@ -135,12 +135,12 @@ def capture_facebook(
     cards: DataFrame, vocab: DataFrame, cutoff_page, cutoff_query,
     words: Iterable[str] = tuple(D.CAPTURE_KEYWORDS), strict: bool = False,
 ) -> DataFrame:
-    facebook = cards.filter(F.col("source") == "Facebook")
+    # the cheap filter first: only recent cards are captioned and searched for names
+    facebook = recent_fb(cards.filter(F.col("source") == "Facebook"), cutoff_page, cutoff_query)
     captioned = add_once(
         facebook, text=min_words(cut_comment_tail(caption(F.col("blocks"))))
     ).filter("text is not null")
-    recent = recent_fb(_feed_text(captioned, words, vocab, strict), cutoff_page, cutoff_query)
-    return recent.select(
+    return _feed_text(captioned, words, vocab, strict).select(
         F.lit("Facebook").alias("source"), "query_page",
         truncate(F.col("text")).alias("text"), "post_timestamp",
         F.col("scraped_at").alias("scraped_timestamp"),
@@ -154,12 +154,11 @@ def capture_x(
     words: Iterable[str] = tuple(D.CAPTURE_KEYWORDS), strict: bool = False,
 ) -> DataFrame:
     texts = (
-        cards.filter(F.col("source") == "X")
+        recent_x(cards.filter(F.col("source") == "X"), cutoff)
         .withColumn("text", F.try_element_at("blocks", F.lit(1)))
         .filter("text is not null")
     )
-    recent = recent_x(_feed_text(texts, words, vocab, strict), cutoff)
-    return recent.withColumn("_who", user_and_link(F.col("link"))).select(
+    return _feed_text(texts, words, vocab, strict).withColumn("_who", user_and_link(F.col("link"))).select(
         F.lit("X").alias("source"), "query_page",
         truncate(F.col("text")).alias("text"), "post_timestamp",
         F.col("scraped_at").alias("scraped_timestamp"),

@@ -6,7 +6,7 @@ import contextlib
 import re
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -63,6 +63,19 @@ def cut(df: DataFrame, name: str) -> DataFrame:
     return cut_at(df, name)[0]
 
 
+def cut_all(frames: Iterable[DataFrame], name: str) -> DataFrame:
+    """Write frames of one schema, each made when the one before is written, and read them back together."""
+    path, spark, schema = None, None, None
+    for frame in frames:
+        if path is None:
+            spark, schema = frame.sparkSession, frame.schema
+            path = scratch_path(spark, name)
+            for written in _open_scratch:
+                written.append(path)
+        frame.write.mode("append").parquet(path)
+    return spark.read.schema(schema).parquet(path)
+
+
 def drop_scratch(spark: SparkSession, path: str) -> None:
     """Delete one scratch table that nothing reads any more; only paths below the shared folder."""
     if not path.startswith(shared_dir(spark) + "/"):
