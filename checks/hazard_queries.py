@@ -69,13 +69,46 @@ def _(spark, d):
     return hit.select("doc_id", H.render_hits(F.col("keyword_hits")).alias("hits"))
 
 
+# a dictionary as a table: names of parts and benchmark openings in documents, of places in posts
+KEYWORDS = """
+SELECT p_type AS label, p_name AS keyword, min(p_partkey) AS seq FROM part GROUP BY p_type, p_name
+UNION ALL SELECT concat('item ', CAST(item_id % 7 AS STRING)), trim(translate(lower(concat(split_part(text, ' ', 1), ' ', split_part(text, ' ', 2))), '.,', '  ')), min(1000000 + item_id) FROM benchmark GROUP BY 1, 2
+UNION ALL SELECT 'sitio', concat('sitio ', CAST(p_partkey AS STRING)), min(2000000 + p_partkey) FROM part GROUP BY 1, 2
+UNION ALL SELECT 'town', concat('town ', CAST(s_suppkey AS STRING)), min(2000000 - s_suppkey) FROM supplier GROUP BY 1, 2
+UNION ALL SELECT concat('in ', CAST(n_nationkey % 3 AS STRING)), concat('nation ', CAST(n_nationkey AS STRING)), min(n_nationkey) FROM nation GROUP BY 1, 2
+"""
+
+
+def sql_table_hits(source: str, key: str) -> str:
+    """Labels and keywords of a dictionary table found in ``text``, rendered, in the table's order."""
+    escaped = "regexp_replace(keyword, '([^\\p{L}\\p{N}_ ])', '\\\\\\1', 'g')"
+    return f"""
+WITH low AS MATERIALIZED (SELECT {key}, lower(text) AS t FROM ({source})), kw AS MATERIALIZED ({KEYWORDS}),
+met AS MATERIALIZED (SELECT {key}, label, keyword, seq FROM low JOIN kw ON contains(t, keyword)
+  WHERE regexp_matches(t, concat('(^|{_EDGE})', {escaped}, '(s|es|ing|ed)?($|{_EDGE})')))
+SELECT {key}, string_agg(concat(label, ':', kws), ', ' ORDER BY label_at, label) AS hits FROM (
+  SELECT {key}, label, label_at, string_agg(keyword, '|' ORDER BY seq, keyword) AS kws
+  FROM met JOIN (SELECT label, min(seq) AS label_at FROM kw GROUP BY label) USING (label) GROUP BY 1, 2, 3) GROUP BY 1"""
+
+
+@query("keyword_table_hits_of_posts", sql_table_hits(f"SELECT post_id, text FROM ({V.POSTS})", "post_id"))
+def _(spark, d):
+    hits = H.keyword_hits_of_table(V.posts(spark, d), V.view(spark, d, KEYWORDS), "post_id", "text")
+    return hits.select("post_id", H.render_hits(F.col("keyword_hits")).alias("hits"))
+
+
+@query("keyword_table_hits_of_documents", sql_table_hits("SELECT doc_id, text FROM documents", "doc_id"))
+def _(spark, d):
+    hits = H.keyword_hits_of_table(V.texts(spark, d), V.view(spark, d, KEYWORDS), "doc_id", "text")
+    return hits.select("doc_id", H.render_hits(F.col("keyword_hits")).alias("hits"))
+
+
 def _priority_sql(expr: str) -> str:
     arms = " ".join(f"WHEN {lit(p)} THEN {i}" for i, p in enumerate(D.HAZARD_PRIORITY))
     return f"(CASE {expr} {arms} END)"
 
 
 _POSTS = f"SELECT post_id, text FROM ({V.POSTS})"
-_HITS = f"SELECT post_id, label, count(*) AS n FROM ({sql_hits(_POSTS, 'post_id', D.HAZARD_KEYWORDS)}) GROUP BY 1, 2"
 
 
 def _base(scores: str) -> str:
@@ -85,12 +118,13 @@ def _base(scores: str) -> str:
 _BASE, _ALL_BASE = _base(V.SCORES), _base(V.ALL_SCORES)
 
 
-def _by_keyword(scores: str) -> str:
+def _by_keyword(scores: str, posts: str = _POSTS) -> str:
+    hits = f"SELECT post_id, label, count(*) AS n FROM ({sql_hits(posts, 'post_id', D.HAZARD_KEYWORDS)}) GROUP BY 1, 2"
     return f"""
 SELECT post_id, label AS disaster_type FROM (
   SELECT h.post_id, h.label, row_number() OVER (PARTITION BY h.post_id ORDER BY
       coalesce(s.score, CAST(0 AS DOUBLE)) + CAST(0.02 AS DOUBLE) * h.n DESC, h.n DESC, {_priority_sql('h.label')}) AS r
-  FROM ({_HITS}) h LEFT JOIN ({scores}) s ON h.post_id = s.post_id AND h.label = s.label) WHERE r = 1"""
+  FROM ({hits}) h LEFT JOIN ({scores}) s ON h.post_id = s.post_id AND h.label = s.label) WHERE r = 1"""
 
 
 def _by_model(base: str) -> str:
@@ -104,9 +138,15 @@ FROM (SELECT post_id, max(CASE WHEN r = 1 THEN score END) AS top, max(CASE WHEN
 
 
 _BY_MODEL = _by_model(_BASE)
-_CLASSIFIED = f"""
-SELECT p.post_id, coalesce(k.disaster_type, m.disaster_type, 'other') AS disaster_type FROM ({_POSTS}) p
-LEFT JOIN ({_by_keyword(_BASE)}) k ON p.post_id = k.post_id LEFT JOIN ({_BY_MODEL}) m ON p.post_id = m.post_id"""
+
+
+def sql_classified(posts: str) -> str:
+    return f"""
+SELECT p.post_id, coalesce(k.disaster_type, m.disaster_type, 'other') AS disaster_type FROM ({posts}) p
+LEFT JOIN ({_by_keyword(_BASE, posts)}) k ON p.post_id = k.post_id LEFT JOIN ({_BY_MODEL}) m ON p.post_id = m.post_id"""
+
+
+_CLASSIFIED = sql_classified(_POSTS)
 _NO_SCORES = "SELECT CAST(NULL AS bigint) AS post_id, '' AS label, CAST(0 AS double) AS score"
 _KEYWORDS_ONLY = f"""
 SELECT p.post_id, coalesce(k.disaster_type, 'other') AS disaster_type FROM ({_POSTS}) p
@@ -125,26 +165,14 @@ def _(spark, d):
     return H.classify(V.posts(spark, d), text_col="text").select("post_id", "disaster_type")
 
 
-@query("model_only_label", _BY_MODEL)
-def _(spark, d):
-    maps = H.score_map(V.scores(spark, d))
-    return maps.select("post_id", H.model_only_label(F.col("_scores")).alias("disaster_type"))
-
-
+@query("model_only_label", _by_model(_ALL_BASE))
 @query("model_only_label_of_all_orders", _by_model(_ALL_BASE))
 def _(spark, d):
     maps = H.score_map(V.all_scores(spark, d))
     return maps.select("post_id", H.model_only_label(F.col("_scores")).alias("disaster_type"))
 
 
-@query("base_label_counts", f"SELECT label, count(*) AS n_rows, max(score) AS top FROM ({_BASE}) GROUP BY 1")
-def _(spark, d):
-    return (
-        V.scores(spark, d).groupBy(H.base_label(F.col("label")).alias("label"))
-        .agg(F.count(F.lit(1)).alias("n_rows"), F.max("score").alias("top"))
-    )
-
-
+@query("base_label_counts", f"SELECT label, count(*) AS n_rows, max(score) AS top FROM ({_ALL_BASE}) GROUP BY 1")
 @query("base_label_counts_of_all_orders", f"SELECT label, count(*) AS n_rows, max(score) AS top FROM ({_ALL_BASE}) GROUP BY 1")
 def _(spark, d):
     return (

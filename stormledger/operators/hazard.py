@@ -8,7 +8,8 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from stormledger import dictionaries as D
 from stormledger.functions.columns import add_once, let
-from stormledger.functions.matching import prefix_pattern, quote
+from stormledger.functions.matching import join_names, prefix_pattern, quote, scan_names
+from stormledger.runtime import cut
 
 OTHER = "other"
 
@@ -100,6 +101,88 @@ def with_keyword_hits(
     return add_once(df, **{out_col: keyword_hits(F.col(text_col or choose_text_column(df)), dictionary)})
 
 
+# ---------------------------------------------------------------------------
+# dictionaries as tables
+# ---------------------------------------------------------------------------
+
+
+def _pieces(text: Column) -> Column:
+    """A text as its runs of word characters and of others, in turn; joined they are the text."""
+    return F.regexp_extract_all(text, F.lit(r"(?U)\w+|\W+"), F.lit(0))
+
+
+def _hashes(pieces: Column) -> Column:
+    return F.transform(pieces, lambda p: F.xxhash64(p))
+
+
+def keyword_forms(dictionary: DataFrame, suffixes: Sequence[str] = D.KEYWORD_SUFFIXES) -> DataFrame:
+    """``(form, label, keyword, label_at, at, opens, closes)``: each keyword, and with each suffix.
+
+    ``dictionary`` has ``label`` and ``keyword`` and may have ``seq``, its order; without it labels and
+    keywords are in code point order. ``opens`` and ``closes`` tell whether the form begins and ends with a
+    word character: a form that does not needs one before or behind it.
+    """
+    listed = dictionary.select("label", "keyword", F.col("seq") if "seq" in dictionary.columns else F.lit(0).alias("seq"))
+    once = listed.filter("label IS NOT NULL AND keyword <> ''").groupBy("label", "keyword").agg(F.min("seq").alias("at"))
+    first = once.groupBy(F.col("label").alias("_label")).agg(F.min("at").alias("label_at"))
+    ends = F.array(F.lit(""), *[F.lit(s) for s in suffixes])
+    return (
+        once.join(first, F.col("label") == F.col("_label"))
+        .select("label", "keyword", "label_at", "at", F.explode(F.transform(ends, lambda s: F.concat("keyword", s))).alias("form"))
+        .withColumn("opens", F.col("form").rlike(r"(?U)\A\w")).withColumn("closes", F.col("form").rlike(r"(?U)\w\z"))
+    )
+
+
+def keyword_hits_of_table(
+    df: DataFrame, dictionary: DataFrame, key_col: str = "post_id", text_col: str | None = None,
+    suffixes: Sequence[str] = D.KEYWORD_SUFFIXES,
+) -> DataFrame:
+    """``(key_col, keyword_hits)`` of the rows with hits, for a dictionary of any size.
+
+    The same hits as ``keyword_hits`` gives for the dictionary as a mapping. Runs of pieces of a text
+    that may be forms of keywords are written once and joined with the forms; a keyword held by very many
+    texts is spread over all tasks. ``key_col`` is unique.
+    """
+    text = F.lower(F.coalesce(F.col(text_col or choose_text_column(df)), F.lit("")))
+    forms = cut(keyword_forms(dictionary, suffixes), "keyword-forms")
+    names = forms.select("form").distinct()
+    pieces = add_once(df.select(F.col(key_col).alias("_key"), text.alias("_text")), _pieces=_pieces(F.col("_text")))
+    start, size = F.shiftright("_run", 32).cast("int"), F.col("_run").bitwiseAND(F.lit(0xFFFFFFFF)).cast("int")
+
+    def places(runs: Callable[[Column], Column]) -> DataFrame:
+        found = pieces.filter(F.size("_pieces") > 0).select("_key", "_pieces", F.explode(runs(_hashes(F.col("_pieces")))).alias("_run"))
+        return found.select(
+            "_key", F.array_join(F.slice("_pieces", start + 1, size), "").alias("form"), (start == 0).alias("_first"),
+            (start + size == F.size("_pieces")).alias("_last"),
+        ).groupBy("_key", "form").agg(F.min("_first").alias("_first"), F.min("_last").alias("_last"), F.min(F.struct("_first", "_last")).alias("_both"))
+
+    found = join_names(scan_names(names, _hashes(_pieces(F.col("form"))), True, places, "keyword-runs"), forms, "form")
+    # a form of other characters at its edge needs a word character beyond it, so not the edge of the text
+    edge = (
+        F.when(F.col("opens") & F.col("closes"), True)
+        .when(F.col("opens"), ~F.col("_last")).when(F.col("closes"), ~F.col("_first"))
+        .otherwise(~F.col("_both._first") & ~F.col("_both._last"))
+    )
+    hits = found.filter(edge).groupBy("_key", "label", "label_at").agg(
+        F.array_sort(F.collect_set(F.struct("at", "keyword"))).alias("found")
+    )
+    entry = F.struct("label_at", "label", F.col("found.keyword").alias("keywords"))
+    return hits.groupBy(F.col("_key").alias(key_col)).agg(F.array_sort(F.collect_list(entry)).alias("_hits")).select(
+        key_col, F.transform("_hits", lambda h: F.struct(h["label"].alias("label"), h["keywords"].alias("keywords"))).alias("keyword_hits")
+    )
+
+
+def with_keyword_hits_of_table(
+    df: DataFrame, dictionary: DataFrame, key_col: str = "post_id", text_col: str | None = None, out_col: str = "keyword_hits",
+    suffixes: Sequence[str] = D.KEYWORD_SUFFIXES,
+) -> DataFrame:
+    """``df`` with the hits of a dictionary table; an empty array where there are none."""
+    hits = keyword_hits_of_table(df, dictionary, key_col, text_col, suffixes).select(F.col(key_col).alias("_k"), F.col("keyword_hits").alias("_hits"))
+    none = F.array().cast(hits.schema["_hits"].dataType)
+    kept = [df[c] for c in df.columns if c != out_col]
+    return df.join(hits, df[key_col] == F.col("_k"), "left").select(*kept, F.coalesce("_hits", none).alias(out_col))
+
+
 def base_label(label: Column) -> Column:
     """Label without its description in brackets, lower case."""
     return F.lower(F.split_part(label, F.lit(" ("), F.lit(1)))
