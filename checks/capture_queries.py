@@ -70,16 +70,12 @@ def _(spark, d):
 _SHORT = "CASE WHEN doc_id % 3 = 0 THEN substring(text, 1, 9) WHEN doc_id % 3 = 1 THEN concat('  ', substring(text, 1, 5), '   ') ELSE text END"
 
 
-@query("min_words", f"SELECT doc_id, CASE WHEN {sql_words('t')} >= 3 THEN t END AS kept FROM (SELECT doc_id, {_SHORT} AS t FROM documents)")
-def _(spark, d):
-    return V.texts(spark, d).select("doc_id", K.min_words(F.expr(_SHORT)).alias("kept"))
-
-
 # whole texts, and beside them rows on the border
 _WORDED = f"""SELECT doc_id, text AS t FROM documents
 UNION ALL SELECT doc_id, {_SHORT} FROM documents"""
 
 
+@query("min_words", f"SELECT doc_id, CASE WHEN {sql_words('t')} >= 3 THEN t END AS kept FROM ({_WORDED})")
 @query("min_words_of_documents", f"SELECT doc_id, CASE WHEN {sql_words('t')} >= 3 THEN t END AS kept FROM ({_WORDED})")
 def _(spark, d):
     return V.view(spark, d, _WORDED).select("doc_id", K.min_words(F.col("t")).alias("kept"))

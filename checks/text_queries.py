@@ -304,13 +304,76 @@ def _(spark, d):
     return run_cleaning(V.posts(spark, d), vocab, "post_id", min_len=40, near=False)
 
 
-@query("cleaned_posts")
-def _(spark, d):
-    vocab = location_vocab(V.gazetteer(spark, d))
-    return run_cleaning(V.posts(spark, d), vocab, "post_id", min_len=40)
+# -- near duplicates ---------------------------------------------------------
+_WORD_BITS = 60  # bits of a bit vector that one number holds
+_FULL = (1 << _WORD_BITS) - 1
+
+
+def sql_common(pairs: str) -> str:
+    """``(k, common)``: longest common subsequence of ``a`` and ``b`` for rows ``(k, a, b)``.
+
+    The usual recurrence over the characters of ``b``, a column at a time: bit i of ``v`` is cleared once
+    the i-th character of ``a`` ends a longer common subsequence. Columns are lists of numbers; carries run through them.
+    """
+    return f"""
+WITH pr AS MATERIALIZED ({pairs}),
+ch AS (SELECT k, unnest(string_split(a, '')) AS c, generate_subscripts(string_split(a, ''), 1) - 1 AS i, (length(a) + {_WORD_BITS - 1}) // {_WORD_BITS} AS n FROM pr),
+wd AS (SELECT k, c, n, i // {_WORD_BITS} AS w, bit_or(CAST(1 AS bigint) << CAST(i % {_WORD_BITS} AS int)) AS bits FROM ch GROUP BY k, c, n, w),
+ms AS (SELECT k, map_from_entries(list((c, l))) AS m FROM (
+  SELECT k, c, list_transform(range(0, any_value(n)), lambda j: coalesce(map_extract_value(map_from_entries(list((w, bits))), j), 0)) AS l FROM wd GROUP BY k, c) GROUP BY k)
+SELECT k, CASE WHEN a = '' OR b = '' THEN 0 ELSE len(list_filter(string_split(list_aggregate(list_transform(
+    list_reduce(string_split(b, ''), lambda v, c: CASE WHEN m[c] IS NULL THEN v ELSE
+      list_reduce(range(1, len(v) + 1), lambda s, i: {{'c': (v[i] + (v[i] & m[c][i]) + s.c) >> {_WORD_BITS},
+        'o': list_append(s.o, ((v[i] + (v[i] & m[c][i]) + s.c) & {_FULL}) | (v[i] - (v[i] & m[c][i])))}}, {{'c': CAST(0 AS bigint), 'o': CAST([] AS bigint[])}}).o END,
+      list_transform(range(0, (length(a) + {_WORD_BITS - 1}) // {_WORD_BITS}), lambda x: CAST({_FULL} AS bigint))),
+    lambda x: substring(CAST(CAST(x AS bit) AS varchar), {64 - _WORD_BITS + 1})), 'string_agg', ''), ''), lambda x: x = '0')) END AS common
+FROM pr LEFT JOIN ms USING (k)"""
+
+
+_KINDS = "abcdefghijklmnopqrstuvwxyz0123456789 "
+
+
+def sql_near(rows: str, prefix: int = 97, full: int = 90) -> str:
+    """``(idx, absorbed_by)`` by the sequential rule over rows ``(idx, text)``.
+
+    Pairs are bounded by their lengths and by the letters they have not in common; all that are left are
+    compared in full, beginnings first. One fold over the rows in order keeps the list of kept ones.
+    """
+    counts = ", ".join(f"length(p) - length(replace(p, '{c}', '')) AS c{i}" for i, c in enumerate(_KINDS))
+    apart = " + ".join(f"abs(x.c{i} - y.c{i})" for i in range(len(_KINDS)))
+    kept = "STRUCT(idx bigint, len bigint, c bigint)[]"
+    gone = "STRUCT(idx bigint, absorbed_by bigint)[]"
+    return f"""
+WITH nt AS MATERIALIZED (SELECT CAST(idx AS bigint) AS idx, {sql_norm("coalesce(text, '')")} AS w FROM ({rows})),
+ct AS MATERIALIZED (SELECT *, length(p) AS pl, {counts} FROM (
+  SELECT min(idx) AS c, w, length(w) AS len, substring(w, 1, 300) AS p FROM nt GROUP BY w)),
+cd AS MATERIALIZED (
+  SELECT row_number() OVER () AS k, x.c AS ca, y.c AS cb, x.p AS pa, y.p AS pb, x.w AS wa, y.w AS wb FROM ct x JOIN (SELECT unnest(range(-18, 19)) AS d) o ON true
+  JOIN ct y ON y.pl = x.pl + o.d AND x.c < y.c
+  WHERE abs(x.len - y.len) * 100 <= (x.len + y.len) * {100 - full} AND abs(x.pl - y.pl) * 100 <= (x.pl + y.pl) * {100 - prefix}
+    AND ({apart}) * 100 <= (x.pl + y.pl) * {100 - prefix}),
+fp AS MATERIALIZED ({sql_common("SELECT k, pa AS a, pb AS b FROM cd")}),
+s1 AS MATERIALIZED (SELECT cd.* FROM cd JOIN fp USING (k) WHERE (length(pa) + length(pb) - 2 * common) * 100 <= (length(pa) + length(pb)) * {100 - prefix}),
+fw AS MATERIALIZED ({sql_common("SELECT k, wa AS a, wb AS b FROM s1")}),
+ed AS (SELECT ca, cb FROM s1 JOIN fw USING (k) WHERE (length(wa) + length(wb) - 2 * common) * 100 <= (length(wa) + length(wb)) * {100 - full}),
+nb AS (SELECT c, list(o) AS nb FROM (SELECT ca AS c, cb AS o FROM ed UNION ALL SELECT cb, ca FROM ed) GROUP BY c),
+rw AS (SELECT list({{'idx': nt.idx, 'len': ct.len, 'c': ct.c, 'nb': list_append(coalesce(nb.nb, []), ct.c)}} ORDER BY nt.idx) AS l
+  FROM nt JOIN ct USING (w) LEFT JOIN nb USING (c)
+  WHERE nb.nb IS NOT NULL OR c IN (SELECT c FROM nt JOIN ct USING (w) GROUP BY c HAVING count(*) > 1)),
+fd AS (SELECT list_reduce(l, lambda s, r: CASE
+    WHEN len(list_filter(s.kept, lambda k: list_contains(r.nb, k.c))) = 0
+      THEN {{'kept': list_append(s.kept, {{'idx': r.idx, 'len': r.len, 'c': r.c}}), 'gone': s.gone}}
+    WHEN r.len < list_filter(s.kept, lambda k: list_contains(r.nb, k.c))[1].len
+      THEN {{'kept': list_append(list_filter(s.kept, lambda k: k.idx <> list_filter(s.kept, lambda k: list_contains(r.nb, k.c))[1].idx), {{'idx': r.idx, 'len': r.len, 'c': r.c}}),
+             'gone': list_append(s.gone, {{'idx': list_filter(s.kept, lambda k: list_contains(r.nb, k.c))[1].idx, 'absorbed_by': r.idx}})}}
+    ELSE {{'kept': s.kept, 'gone': list_append(s.gone, {{'idx': r.idx, 'absorbed_by': list_filter(s.kept, lambda k: list_contains(r.nb, k.c))[1].idx}})}} END,
+  {{'kept': CAST([] AS {kept}), 'gone': CAST([] AS {gone})}}) AS s FROM rw)
+SELECT g.idx AS idx, g.absorbed_by AS absorbed_by FROM (SELECT unnest(s.gone) AS g FROM fd WHERE s IS NOT NULL)"""
+
+
+_NEAR_DOCS = sql_near("SELECT doc_id AS idx, text FROM documents")
 
 
-# -- near duplicates ---------------------------------------------------------
 @query("normalize_for_compare", f"""
 SELECT doc_id, {sql_norm('text')} AS whole, substring({sql_norm('text')}, 1, 300) AS prefix FROM documents""")
 def _(spark, d):
@@ -320,17 +383,27 @@ def _(spark, d):
     )
 
 
-@query("drop_near_duplicates")
+@query("drop_near_duplicates", f"""
+SELECT doc_id, n_chars FROM documents WHERE doc_id NOT IN (SELECT idx FROM ({_NEAR_DOCS}))""")
 def _(spark, d):
     return N.drop_near_duplicates(V.texts(spark, d), "text", "doc_id").select("doc_id", "n_chars")
 
 
-@query("near_duplicate_matches")
+@query("near_duplicate_matches", f"SELECT idx AS doc_id, absorbed_by FROM ({_NEAR_DOCS})")
 def _(spark, d):
     return N.near_duplicate_matches(V.texts(spark, d), "text", "doc_id")
 
 
-@query("indel_ratio")
+_TURN_PAIRS = f"""
+SELECT row_number() OVER () AS k, t.conv_id, t.turn, {sql_norm("coalesce(t.text, '')")} AS a, {sql_norm("coalesce(e.text, '')")} AS b
+FROM conversations t JOIN conversations e ON t.conv_id = e.conv_id AND t.turn = e.turn + 1"""
+
+
+@query("indel_ratio", f"""
+WITH tp AS MATERIALIZED ({_TURN_PAIRS})
+SELECT conv_id, turn, CASE WHEN length(a) + length(b) = 0 THEN CAST(100 AS double)
+  ELSE (CAST(1 AS double) - CAST(length(a) + length(b) - 2 * common AS double) / (length(a) + length(b))) * CAST(100 AS double) END AS ratio
+FROM tp JOIN ({sql_common("SELECT k, a, b FROM tp")}) USING (k)""")
 def _(spark, d):
     """Similarity of each whole turn and the one before it."""
     turns = V.table(spark, d, "conversations").select("conv_id", "turn", "text")
@@ -339,3 +412,20 @@ def _(spark, d):
         "conv_id", "turn",
         S.indel_ratio(N.normalize_for_compare(F.col("text")), N.normalize_for_compare(F.col("earlier"))).alias("ratio"),
     )
+
+
+def sql_cleaned(posts: str, min_len: int) -> str:
+    """``(post_id, source, page_source, text_content, url)`` of cleaned posts, exact and near duplicates dropped, that name a place."""
+    return f"""
+WITH fx AS MATERIALIZED (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY text_content ORDER BY post_id) AS n FROM (
+    SELECT p.post_id, p.source, p.post_url AS url, {sql_clean('p.text', min_len)} AS text_content, s.page_source
+    FROM ({posts}) p JOIN ({_SOURCED}) s ON p.post_id = s.post_id) WHERE trim(text_content) <> '') WHERE n = 1)
+SELECT post_id, source, page_source, text_content, url FROM fx
+WHERE post_id NOT IN (SELECT idx FROM ({sql_near("SELECT post_id AS idx, text_content AS text FROM fx")}))
+  AND EXISTS (SELECT 1 FROM ({_POST_VOCAB}) v WHERE contains(lower(text_content), v.w))"""
+
+
+@query("cleaned_posts", f"SELECT source, page_source, text_content, url FROM ({sql_cleaned(V.POSTS, 40)})")
+def _(spark, d):
+    vocab = location_vocab(V.gazetteer(spark, d))
+    return run_cleaning(V.posts(spark, d), vocab, "post_id", min_len=40)
