@@ -16,7 +16,11 @@ _open_scratch: list[list[str]] = []
 
 @contextlib.contextmanager
 def scratch() -> Iterator[list[str]]:
-    """Deletes, at its end, the tables that were cut inside it; what is taken off the list stays."""
+    """Deletes, at its end, the tables that were cut inside it; what is taken off the list stays.
+
+    Results that are read lazily keep their scratch tables. A caller who runs operators and writes
+    their results inside this leaves nothing behind.
+    """
     written: list[str] = []
     _open_scratch.append(written)
     try:
