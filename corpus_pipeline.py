@@ -44,7 +44,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """doc_id, source, n_tokens, ids_sha256, decoded_sha256 of every document of the mix."""
     keyed = docs.select(F.struct("doc_id", "source").alias("key"), "text")
-    tokens = bpe.decode(bpe.encode(keyed, vocabulary_path(), key="key"), vocabulary_path(), key="key")
+    tokens = bpe.encode(keyed, vocabulary_path(), key="key", decoded=True)
     return tokens.select(
         "key.doc_id", "key.source", F.size("ids").cast("long").alias("n_tokens"),
         F.sha2(F.array_join("ids", " "), 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"),

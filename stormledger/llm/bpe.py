@@ -25,7 +25,10 @@ import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame, functions as F, types as T
 
-CACHED_CHUNKS = 300_000  # a task forgets its chunks beyond this number; results do not depend on it
+GROUP_BYTES = 1 << 20  # of the texts that a task learns and encodes together
+CACHE_BYTES = 24 << 20  # a task forgets its chunks beyond this size; results do not depend on it
+CHUNK_BYTES = 130  # what a chunk takes beside its letters and tokens
+ROWS_AT_ONCE = 200
 _SEPARATORS = "\x1c\x1d\x1e\x1f"  # str.split() splits here, the vocabulary's pattern does not
 _WHITE = re.compile("[\t-\r \x85\xa0  -     　]+")
 _COMMON = re.compile("[\x00-ɏ]*")  # beyond it Unicode versions differ: the file's own components decide
@@ -188,11 +191,11 @@ class Encoder:
     """Tokens of every distinct chunk that a task has met."""
 
     def __init__(self, vocab: Vocabulary):
-        self.vocab, self.place = vocab, {}
+        self.vocab, self.place, self.held = vocab, {}, 0
         self.tokens, self.begins, self.lengths = np.zeros(0, np.int32), np.zeros(0, np.int64), np.zeros(0, np.int64)
 
     def learn(self, texts: list[str | None]) -> None:
-        if len(self.place) > CACHED_CHUNKS:
+        if self.held > CACHE_BYTES:
             self.__init__(self.vocab)
         new: dict[str, None] = {}
         for text in texts:
@@ -200,6 +203,7 @@ class Encoder:
                 new.update((c, None) for c in _chunks(text) if c not in self.place)
         if new:
             chunks, tokens, lengths = self.vocab.encode_chunks(list(new))
+            self.held += sum(map(len, chunks)) + 4 * len(tokens) + CHUNK_BYTES * len(chunks)
             self.place.update(zip(chunks, range(len(self.place), len(self.place) + len(chunks)), strict=True))
             begins = np.cumsum(lengths) - lengths + len(self.tokens)
             self.tokens = np.concatenate((self.tokens, tokens))
@@ -234,32 +238,45 @@ def _chunks(text: str) -> list[str]:
     return text.split()
 
 
-# learned together: more texts share one index; written out together: bounds a task's memory
-TEXTS_LEARNED, TEXTS_AT_ONCE = 4000, 500
+def groups(texts: pa.Array, most: int = GROUP_BYTES) -> Iterator[tuple[int, int]]:
+    """(first, last + 1) of consecutive texts of about ``most`` bytes together; a longer text stands alone."""
+    sizes = pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+    total, first = np.concatenate(([0], np.cumsum(sizes))), 0
+    while first < len(texts):
+        last = max(first + 1, int(np.searchsorted(total, total[first] + most, "right")) - 1)
+        yield first, last
+        first = last
 
 
-
-def encode(docs: DataFrame, vocab_path: str, key: str = "doc_id", text: str = "text") -> DataFrame:
+def encode(docs: DataFrame, vocab_path: str, key: str = "doc_id", text: str = "text", decoded: bool = False) -> DataFrame:
     """``key`` and ``ids`` (array of int): the tokens of each whole text, no special ones added.
 
     Null or empty text: an empty array. Strings of special tokens inside a text
-    become those tokens, as the vocabulary's library has it.
+    become those tokens, as the vocabulary's library has it. With ``decoded``, also the
+    text that ``decode`` gives, in the same pass. Texts are taken and handed on in groups
+    of bounded size.
     """
     slim = docs.select(F.col(key).alias("key"), F.col(text).cast("string").alias("text"))
+    names_of = ["key", "ids", "decoded"] if decoded else ["key", "ids"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = Encoder(vocabulary(vocab_path))
+        names = token_names(encoder.vocab)
         for batch in batches:
-            for most in range(0, batch.num_rows, TEXTS_LEARNED):
-                group = batch.slice(most, TEXTS_LEARNED)
-                encoder.learn(group.column(1).to_pylist())
-                for at in range(0, group.num_rows, TEXTS_AT_ONCE):
-                    part = group.slice(at, TEXTS_AT_ONCE)
-                    lists = encoder.token_lists(part.column(1).to_pylist())
-                    yield pa.RecordBatch.from_arrays([part.column(0), lists], ["key", "ids"])
+            for a, z in groups(batch.column(1)):
+                texts = batch.column(1).slice(a, z - a).to_pylist()
+                encoder.learn(texts)
+                lists = encoder.token_lists(texts)
+                more = [_joined(lists, names)] if decoded else []
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, z - a), lists, *more], names_of)
+
+    fields = [T.StructField("key", slim.schema["key"].dataType), T.StructField("ids", T.ArrayType(T.IntegerType(), False))]
+    schema = T.StructType(fields + [T.StructField("decoded", T.StringType())] * decoded)
+    return slim.mapInArrow(run, schema).select(F.col("key").alias(key), *names_of[1:])
+
 
-    schema = T.StructType([T.StructField("key", slim.schema["key"].dataType), T.StructField("ids", T.ArrayType(T.IntegerType(), False))])
-    return slim.mapInArrow(run, schema).select(F.col("key").alias(key), "ids")
+def token_names(vocab: Vocabulary) -> pa.Array:
+    return pa.array([n or None for n in vocab.names])
 
 
 def decode(tokens: DataFrame, vocab_path: str, key: str = "doc_id", ids: str = "ids") -> DataFrame:
@@ -271,10 +288,10 @@ def decode(tokens: DataFrame, vocab_path: str, key: str = "doc_id", ids: str = "
     slim = tokens.select(F.col(key).alias("key"), F.col(ids).alias("ids"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = pa.array([n or None for n in vocabulary(vocab_path).names])
+        names = token_names(vocabulary(vocab_path))
         for batch in batches:
-            for at in range(0, batch.num_rows, TEXTS_AT_ONCE):
-                part = batch.slice(at, TEXTS_AT_ONCE)
+            for at in range(0, batch.num_rows, ROWS_AT_ONCE):
+                part = batch.slice(at, ROWS_AT_ONCE)
                 yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), _joined(part.column(1), names)], ["key", "ids", "decoded"])
 
     schema = T.StructType([*slim.schema.fields, T.StructField("decoded", T.StringType())])

@@ -2,14 +2,14 @@
 
 Learning counts hashed byte n-grams (one to four, with the word's edges, and the whole
 word) of lower-cased words per language, and the letters of each script. A word's
-script narrows the candidates to the languages that use it; each candidate scores the
-word by its n-grams. Viterbi over the words of a text, with a penalty for every change
+script narrows the candidates to the languages that use it (all, if none does); each candidate
+scores the word by its n-grams. Viterbi over the words of a text, with a penalty for every change
 of language, labels the spans; the language with most letters labels the text, and the
-score is its share of all letters that could be labelled.
+score is the share of all letters that it labels in scripts it uses; so a text of a
+script that no learned language uses gets the language its n-grams point to, with score 0.
 
 Null text or text without a letter: ``und``, score 0, no spans; so is every text if
-nothing was learned, and a text all of whose letters belong to scripts that no learned
-language uses. Ties go to the language that sorts first. Documents without a language
+nothing was learned. Ties go to the language that sorts first. Documents without a language
 do not teach; repeated rows teach again. An empty table gives an empty one; other columns do
 not matter.
 """
@@ -30,9 +30,10 @@ CELLS = 1 << 16
 LONGEST_GRAM = 4
 SMOOTHING = 0.5
 SWITCH = 8.0  # nats that a change of language costs
-SCRIPT_SHARE = 0.01  # a language uses a script if it holds this share of its letters
+SCRIPT_SHARE = 0.01  # a language uses a script if it has this share of its letters in it, or holds this share of the script's
 TEXTS_AT_ONCE = 3000
 CACHED_WORDS = 300_000  # a task forgets its words beyond this number; results do not depend on it
+STATE = np.int32  # number of a language
 _U = np.uint64
 
 # FIXED VALUES: Unicode ranges of scripts
@@ -93,8 +94,8 @@ class Model:
     def __init__(self, languages: list[str], counts: np.ndarray, scripts: np.ndarray):
         self.languages = languages
         self.logs = np.log((counts + SMOOTHING) / (counts.sum(axis=0) + SMOOTHING * CELLS)).astype(np.float32)
-        share = scripts / np.maximum(scripts.sum(axis=0), 1)
-        self.uses = share >= SCRIPT_SHARE  # script x language
+        own, held = scripts / np.maximum(scripts.sum(axis=0), 1), scripts / np.maximum(scripts.sum(axis=1, keepdims=True), 1)
+        self.uses = np.maximum(own, held) >= SCRIPT_SHARE  # script x language
 
     def scores(self, words: list[str], scripts: np.ndarray) -> np.ndarray:
         """Words x languages; the best candidate at 0, languages that do not use the script far below."""
@@ -103,9 +104,9 @@ class Model:
         sums = np.stack([np.bincount(owner, weights=self.logs[cells, k], minlength=len(words)) for k in range(len(self.languages))], axis=1)
         sums /= np.sqrt(n)[:, None]
         uses = self.uses[scripts]
+        uses |= ~uses.any(axis=1, keepdims=True)
         sums = np.where(uses, sums, sums.min(axis=1, keepdims=True) - 100.0)
-        sums -= sums.max(axis=1, keepdims=True)
-        return np.where(uses.any(axis=1, keepdims=True), sums, 0).astype(np.float32)
+        return (sums - sums.max(axis=1, keepdims=True)).astype(np.float32)
 
 
 def learn(docs: DataFrame, text: str = "text", lang: str = "lang") -> Model:
@@ -152,8 +153,8 @@ def best_paths(scores: np.ndarray, sizes: np.ndarray, switch: float = SWITCH) ->
     order = np.argsort(-sizes, kind="stable")
     begins = (np.cumsum(sizes) - sizes)[order]
     active = np.searchsorted(-sizes[order], -np.arange(int(sizes.max(initial=0))), "left")  # texts longer than t
-    came = np.empty(scores.shape, np.int8)
-    own = np.arange(states, dtype=np.int8)
+    came = np.empty(scores.shape, STATE)
+    own = np.arange(states, dtype=STATE)
     value = np.zeros((int(active[0]) if len(active) else 0, states), np.float32)
     final = np.zeros(len(sizes), np.int64)
     for t, n in enumerate(active.tolist()):
@@ -167,7 +168,7 @@ def best_paths(scores: np.ndarray, sizes: np.ndarray, switch: float = SWITCH) ->
         came[at] = np.where(stay, own, best[:, None])
         value = np.where(stay, value, jump) + scores[at]
     final[: len(value)] = value.argmax(axis=1)
-    path = np.empty(len(scores), np.int8)
+    path = np.empty(len(scores), STATE)
     state = final
     for t in range(len(active) - 1, -1, -1):
         at = begins[: active[t]] + t
@@ -190,35 +191,41 @@ def label(docs: DataFrame, model: Model, key: str = "doc_id", text: str = "text"
         model = held.value
         states = len(model.languages)
         place: dict[str, int] = {}
-        table, letters = np.zeros((0, states), np.float32), np.zeros(0, np.int64)
+        table, letters, kinds = np.zeros((0, states), np.float32), np.zeros(0, np.int64), np.zeros(0, np.int64)
         for batch in batches:
             for first in range(0, batch.num_rows, TEXTS_AT_ONCE):
                 part = batch.slice(first, TEXTS_AT_ONCE)
                 chunks = [t.split() if t else [] for t in part.column(1).to_pylist()]
                 if len(place) > CACHED_WORDS:
-                    place, table, letters = {}, table[:0], letters[:0]
+                    place, table, letters, kinds = {}, table[:0], letters[:0], kinds[:0]
                 new = [c for c in dict.fromkeys(c for own in chunks for c in own) if c not in place]
                 place.update(zip(new, range(len(place), len(place) + len(new)), strict=True))
                 words = [letters_of(c) for c in new]
                 known = [k for k, w in enumerate(words) if w]
                 more = np.zeros((len(new), states), np.float32)
-                count = np.zeros(len(new), np.int64)
+                count, kind = np.zeros(len(new), np.int64), np.zeros(len(new), np.int64)
                 if known and states:
                     scripts = np.fromiter((script_of(words[k]) for k in known), np.int64, len(known))
                     more[known] = model.scores([words[k] for k in known], scripts)
-                    usable = model.uses[scripts].any(axis=1)
-                    count[known] = np.fromiter((len(words[k]) for k in known), np.int64, len(known)) * usable
-                table, letters = np.concatenate((table, more)), np.concatenate((letters, count))
+                    count[known] = np.fromiter((len(words[k]) for k in known), np.int64, len(known))
+                    kind[known] = scripts
+                table, letters, kinds = np.concatenate((table, more)), np.concatenate((letters, count)), np.concatenate((kinds, kind))
                 sizes = np.fromiter(map(len, chunks), np.int64, len(chunks))
                 at = np.fromiter((place[c] for own in chunks for c in own), np.int64, int(sizes.sum()))
-                yield _labelled(part.column(0), model.languages, table[at], letters[at], sizes)
+                yield _labelled(part.column(0), model, table[at], letters[at], kinds[at], sizes)
 
-    def _labelled(keys: pa.Array, languages: list[str], scores: np.ndarray, letters: np.ndarray, sizes: np.ndarray) -> pa.RecordBatch:
+    def _labelled(keys: pa.Array, model: Model, scores: np.ndarray, letters: np.ndarray, scripts: np.ndarray, sizes: np.ndarray) -> pa.RecordBatch:
+        languages = model.languages
         states, n = max(1, len(languages)), len(sizes)
-        path = best_paths(scores, sizes, switch) if len(languages) else np.zeros(len(scores), np.int8)
+        path = best_paths(scores, sizes, switch) if len(languages) else np.zeros(len(scores), STATE)
         owner = np.repeat(np.arange(n), sizes)
         held = np.bincount(owner * states + path, weights=letters, minlength=n * states).reshape(n, states)
         total, best = held.sum(axis=1), held.argmax(axis=1)
+        if len(languages):  # letters of the label's own scripts
+            own = letters * (path == best[owner]) * model.uses[scripts, path]
+            share = np.bincount(owner, weights=own, minlength=n) / np.maximum(total, 1)
+        else:
+            share = np.zeros(n)
         named = np.array([*languages, "und"], object)
         found = np.where(total > 0, best, len(languages))
         cuts = np.flatnonzero((np.diff(path, prepend=-1) != 0) | (np.diff(owner, prepend=-1) != 0))
@@ -232,7 +239,7 @@ def label(docs: DataFrame, model: Model, key: str = "doc_id", text: str = "text"
         )
         offsets = np.searchsorted(owner[cuts], np.arange(n + 1)) if len(cuts) else np.zeros(n + 1, int)
         return pa.RecordBatch.from_arrays(
-            [keys, pa.array(named[found], pa.string()), pa.array(held.max(axis=1) / np.maximum(total, 1)), pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), spans)],
+            [keys, pa.array(named[found], pa.string()), pa.array(share), pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), spans)],
             ["key", "lang_pred", "score", "spans"],
         )
 

@@ -3,7 +3,8 @@
 All words T of the corpus are dealt to 2**k slots of b = T / 2**k words each. The
 van der Corput points of the slots fall through the cumulative targets, which
 gives each source its target within one slot and spreads its slots evenly over
-the schedule. Slots are ranked within their source; a source's documents are
+the schedule. A source gets one more slot, at its own place of the schedule, and its last
+slot is shortened, so that it supplies its target to the word, however small that is. Slots are ranked within their source; a source's documents are
 laid end to end in a shuffled order and cut into blocks of b words, again and
 again from the start when the target exceeds the source; slot number q of a
 source takes its block q.
@@ -90,7 +91,7 @@ def _positions(sizes: DataFrame, n_rows: int) -> DataFrame:
 
 
 def _ranked_slots(targets: DataFrame, slots_log2: int, words: int) -> DataFrame:
-    """(source, rank, slot) for all slots of the schedule."""
+    """(source, rank, slot) for all slots of the schedule, and one more of each source."""
     n = 1 << slots_log2
     order = W.orderBy(F.col("source").isNull(), "source").rowsBetween(W.unboundedPreceding, 0)
     last = F.row_number().over(W.orderBy(F.col("source").isNull().desc(), F.col("source").desc())) == 1
@@ -100,6 +101,9 @@ def _ranked_slots(targets: DataFrame, slots_log2: int, words: int) -> DataFrame:
     )
     width = 1 << min(STRETCH_LOG2, slots_log2)
     pieces = F.sequence(F.floor(F.col("since") / width), F.floor((F.col("upto") - 1) / width))
+    extra = owned.filter("target > 0").select(
+        "source", (F.col("upto") - F.col("since")).alias("rank"), reversed_bits(F.least("upto", F.lit(n - 1)), slots_log2).alias("slot")
+    )
     points = (
         owned.filter("upto > since")
         .select("source", "since", "upto", F.explode(pieces).alias("piece"))
@@ -119,6 +123,7 @@ def _ranked_slots(targets: DataFrame, slots_log2: int, words: int) -> DataFrame:
         slots.withColumn("own", own)
         .join(counted, F.col("source").eqNullSafe(F.col("s")) & (F.col("stretch") == F.col("t")))
         .select("source", (F.col("before") + F.col("own") - 1).alias("rank"), "slot")
+        .unionByName(extra)
     )
 
 
@@ -142,10 +147,8 @@ def mix(sizes: DataFrame, targets: DataFrame, most: int = MOST_REPEATS) -> DataF
     slots_log2 = max(least, (-(-words // BLOCK_WORDS) - 1).bit_length() if words else 0)
     block = max(1.0, words / (1 << slots_log2))
     slots = _ranked_slots(targets, slots_log2, max(1, words))
-    own = slots.groupBy("source").agg(F.count("*").alias("slots")).select(F.col("source").alias("s"), "slots")
-    supply = targets.join(own, F.col("source").eqNullSafe(F.col("s"))).select(
-        F.col("source").alias("s"), "source_size",
-        F.least(F.floor(F.col("slots") * block).cast("long"), F.col("source_size") * most).alias("supply"),
+    supply = targets.select(
+        F.col("source").alias("s"), "source_size", F.least(F.round("target").cast("long"), F.col("source_size") * most).alias("supply")
     )
     begin = F.col("turn") * F.col("source_size") + F.col("start")
     laid = (
@@ -182,15 +185,15 @@ def words_taken(sizes: DataFrame, targets: DataFrame, most: int = MOST_REPEATS)
 
 
 def mixed_documents(docs: DataFrame, weights: Sequence[float] = (1, 2, 3), most: int = MOST_REPEATS) -> DataFrame:
-    """The documents of the mix, whole: each as often as its words are taken, rounded to full uses.
+    """The documents of the mix, whole: each as often as its words are taken, begun uses in full.
 
-    Repeated rows (same doc_id and text) share their uses evenly.
+    A source so exceeds its target by less than one document, and none drops out. Repeated rows (same doc_id and text) share their uses evenly.
     """
     sizes = document_sizes(docs)
     used = words_taken(sizes, source_targets(sizes, weights, most), most).filter("taken > 0")
     uses = used.groupBy(F.col("doc_id").alias("d"), F.col("print").alias("p")).agg(
-        F.round(F.sum("taken") / F.sum("size")).cast("int").alias("uses")
-    ).filter("uses > 0")
+        F.ceil(F.sum("taken") / F.sum("size")).cast("int").alias("uses")
+    )
     same = docs["doc_id"].eqNullSafe(F.col("d")) & (F.xxhash64(docs["text"]) == F.col("p"))
     columns = [docs[c] for c in docs.columns]
     return docs.join(uses, same).select(*columns, F.explode(F.sequence(F.lit(1), F.col("uses"))).alias("__use")).drop("__use")

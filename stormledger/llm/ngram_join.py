@@ -8,7 +8,8 @@ shingles and has signatures in H + 1 segments or more shares a whole segment wit
 any set it links to. So the index holds one signature per non-empty segment.
 
 Allocation by cost. The smaller set of a pair probes. Segments whose signature
-no other set has cost nothing: with H + 1 of them a set has no link at all. Else it
+no other set has cost nothing: with H + 1 of them a set has no link at all and leaves the
+index, which makes more signatures unshared (``_peeled``). Any other set
 spends what is left of H + 1 on its rarest shared signatures. Where any set of a
 band has too few non-empty segments, the first D segments of the band count twice:
 there all sets also index their one-deletion neighbourhoods, which finds segments
@@ -44,12 +45,18 @@ from stormledger.runtime import cut_at, drop_scratch
 PERCENT = 80
 COUNTER_CELLS = 1 << 16  # of the fixed-size counter that ranks changes by rarity
 INDEX_ROWS = 400_000  # signatures that a task pre-aggregates together
+PEELS = 1  # rounds that take signatures without a link out before pairs are looked for
 SMALL_BUCKET = 32  # up to so many sets of one signature all pairs are verified
+ODD_BITS = 256
+MOST_BEFORE = 128  # tokens of a prefix that its rows repeat
+ODD = [f"odd{k}" for k in range(ODD_BITS // 64)]
 FILTER_BITS = 1 << 23  # of the fixed-size filter of wanted documents
 _U = np.uint64
 _I = np.int64
 
-PLAIN, NEAR, OTHER = 0, 1, 2  # may probe; a doubled segment's; only to be found
+# may probe, and a segment that every smaller partner has too; may probe; a doubled segment's;
+# only to be found, by every smaller partner of the band below; only to be found
+LOW, PLAIN, NEAR, OTHER_LOW, OTHER = 0, 1, 2, 3, 4
 
 
 class Layout(NamedTuple):
@@ -98,12 +105,16 @@ class Scheme:
             self.bands[k] = Band(k, self.layout, self.doubled.get(k, 0))
         return self.bands[k]
 
-    def places(self, n: int) -> list[tuple[Band, int, bool]]:
-        """(band, segments used, probes) of a set of n shingles: its own band and the one below if linked sets lie there."""
+    def places(self, n: int) -> list[tuple[Band, int, int, bool]]:
+        """(band, segments used, those that any smaller partner uses too, probes) of a set of n shingles.
+
+        Its own band, and the one below if linked sets lie there.
+        """
+        least = -(-n * self.layout.percent // 100)
         own = self.band(n.bit_length() - 1)
-        out = [(own, own.used(n), True)]
+        out = [(own, own.used(n), own.used(max(least, 1 << own.k)), True)]
         if own.k and n <= (below := self.band(own.k - 1)).reach:
-            out.append((below, below.segments, False))
+            out.append((below, below.segments, below.used(max(least, 1 << below.k)), False))
         return out
 
     def contents(self, band: Band, hashes: np.ndarray, used: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -118,27 +129,29 @@ class Scheme:
         sums = np.add.reduceat(spread, cuts) if len(cuts) else np.zeros(0, _U)
         return segment[cuts], sums, spread, segment
 
-    def profile(self, hashes: np.ndarray) -> tuple[int, int]:
-        """Non-empty segments that a set probes, and how many doubled ones it would need."""
+    def profile(self, hashes: np.ndarray) -> tuple[int, int, int, int]:
+        """Non-empty segments that a set probes, how many doubled ones it would need, and the
+        non-empty ones that smaller partners have too, in its own band and the one below (-1: none there)."""
         n = len(hashes)
         if not n:
-            return 0, 0
-        band, used, _ = self.places(n)[0]
+            return 0, 0, 0, -1
+        (band, used, low, _), *lower = self.places(n)
         filled = self.contents(band, hashes, used)[0]
+        below = [len(self.contents(b, hashes, u)[0]) for b, _, u, _ in lower]
         need = band.differ(n) + 1
         double = 0
         while len(filled) - np.searchsorted(filled, double) + 2 * double < need:
             double += 1
-        return len(filled), double if len(filled) < need else 0
+        return len(filled), double if len(filled) < need else 0, int(np.searchsorted(filled, low)), *(below or [-1])
 
     def signatures(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """All signatures of a set and their kinds."""
         found, kinds = [], []
-        for band, used, probes in self.places(len(hashes)):
+        for band, used, low, probes in self.places(len(hashes)):
             filled, sums, spread, segment = self.contents(band, hashes, used)
             place = mix(filled.astype(_U) + _U(band.salt))
             found.append(mix(sums + place))
-            kinds.append(np.full(len(filled), PLAIN if probes else OTHER, np.int32))
+            kinds.append(np.where(filled < low, *((LOW, PLAIN) if probes else (OTHER_LOW, OTHER))).astype(np.int32))
             if band.doubled:
                 empty = np.setdiff1d(np.arange(band.doubled), filled)
                 short = segment < band.doubled
@@ -149,20 +162,21 @@ class Scheme:
 
 
 def _profiles(docs: DataFrame, layout: Layout) -> DataFrame:
-    """(doc_id, n, key, filled, doubled) of every document."""
+    """(doc_id, n, key, filled, doubled, low, below) of every document."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scheme = Scheme(layout, {})
         for batch in batches:
             rows = [(len(s), set_key(s), *scheme.profile(s)) for s in shingle_sets(batch.column(1))]
-            n, key, filled, doubled = (list(c) for c in zip(*rows, strict=True)) if rows else ([], [], [], [])
+            columns = [list(c) for c in zip(*rows, strict=True)] if rows else [[]] * 6
+            kinds = [pa.int32(), pa.int64(), *[pa.int32()] * 4]
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(n, pa.int32()), pa.array(key, pa.int64()), pa.array(filled, pa.int32()), pa.array(doubled, pa.int32())],
-                ["doc_id", "n", "key", "filled", "doubled"],
+                [batch.column(0), *(pa.array(c, t) for c, t in zip(columns, kinds, strict=True))],
+                ["doc_id", "n", "key", "filled", "doubled", "low", "below"],
             )
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, n int, key long, filled int, doubled int")
+    return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, n int, key long, filled int, doubled int, low int, below int")
 
 
 def _index(docs: DataFrame, layout: Layout, doubled: dict[int, int]) -> DataFrame:
@@ -289,7 +303,7 @@ def similar_sets(docs: DataFrame, layout: Layout = Layout()) -> tuple[DataFrame,
     band = F.floor(F.log2("n")).cast("int")
     doubled = {r[0]: r[1] for r in profiles.filter("doubled > 0").groupBy(band.alias("k")).agg(F.max("doubled")).collect()}
     classes = profiles.filter("n > 0").groupBy("key").agg(
-        F.max("n").alias("n"), F.max("filled").alias("filled"), F.min("doc_id").alias("doc_id")
+        *[F.max(c).alias(c) for c in ("n", "filled", "low", "below")], F.min("doc_id").alias("doc_id")
     )
     classes = classes.withColumn("need", F.floor((F.col("n") + F.floor(F.col("n") * 100 / percent)) * (100 - percent) / (100 + percent)) + 1)
 
@@ -300,12 +314,17 @@ def similar_sets(docs: DataFrame, layout: Layout = Layout()) -> tuple[DataFrame,
     shared = index.withColumn("met", F.when(F.col("copies") < 0, -F.col("copies")).otherwise(together)).filter("met > 1").dropDuplicates(["sig", "key", "kind"])
     shared, shared_path = cut_at(shared.select("sig", "key", "kind", "met"), "ngram-shared")
 
+    known = classes.select(F.col("key").alias("k"), "n", "filled", "need")
+    for _ in range(PEELS):
+        shared, peeled_path = cut_at(_peeled(shared, classes.drop("doc_id"), percent), "ngram-shared")
+        drop_scratch(spark, shared_path)
+        shared_path = peeled_path
+
     # what a set still has to spend after the segments that nobody shares
     own = W.partitionBy("key")
-    ranked = shared.filter(F.col("kind") == PLAIN).withColumn("place", F.row_number().over(own.orderBy("met", "sig"))).withColumn(
+    ranked = shared.filter(F.col("kind") <= PLAIN).withColumn("place", F.row_number().over(own.orderBy("met", "sig"))).withColumn(
         "shared", F.count("*").over(own)
     )
-    known = classes.select(F.col("key").alias("k"), "n", "filled", "need")
     cheapest = ranked.join(known, F.col("key") == F.col("k")).filter(F.col("place") <= F.col("need") - F.col("filled") + F.col("shared"))
     short = shared.filter(F.col("kind") == NEAR).join(known.filter("filled < need"), F.col("key") == F.col("k"))
     probes, probes_path = cut_at(cheapest.select("sig", "key", "n").union(short.select("sig", "key", "n")).distinct(), "ngram-probes")
@@ -343,6 +362,28 @@ def similar_sets(docs: DataFrame, layout: Layout = Layout()) -> tuple[DataFrame,
     return profiles, parts
 
 
+def _peeled(shared: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
+    """``shared`` without the signatures through which a set can have no link, and what nobody else shares then.
+
+    A set probes no larger one if ``need`` of its segments are shared by nobody; it is found
+    by no smaller one if, of the segments that all smaller partners have too, one more is shared by
+    nobody than two sets of its size may differ in. Without it, signatures of others become their own.
+    """
+    own = shared.groupBy(F.col("key").alias("k")).agg(*[
+        F.count(F.when(F.col("kind").isin(*kinds), 1)).alias(name)
+        for name, kinds in (("any", (LOW, PLAIN)), ("some", (LOW,)), ("lower", (OTHER_LOW,)))
+    ])
+    few = _allowed(F.col("n") * 2, percent) + 1
+    here = (F.col("filled") - F.col("any") < F.col("need")) | (F.col("low") - F.col("some") < few)
+    there = (F.col("below") >= 0) & (F.col("below") - F.col("lower") < few)
+    role = classes.join(own, F.col("key") == F.col("k")).select("k", here.alias("here"), there.alias("there"))
+    left = shared.join(role.filter("here OR there"), F.col("key") == F.col("k")).filter(
+        F.when(F.col("kind") >= OTHER_LOW, F.col("there")).otherwise(F.col("here"))
+    ).select("sig", "key", "kind")
+    met = left.groupBy(F.col("sig").alias("s")).agg(F.count("*").cast("int").alias("met"), F.min("key").alias("least"), F.max("key").alias("most"))
+    return left.join(met.filter("least < most"), F.col("sig") == F.col("s")).select("sig", "key", "kind", "met")
+
+
 def _ordered(a, b) -> list:
     return [F.least(a, b).alias("a"), F.greatest(a, b).alias("b")]
 
@@ -402,13 +443,26 @@ def _changes(large: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
 
 def _rarest_first(changes: DataFrame) -> DataFrame:
-    """(key, hub, n, d, near, token, asked, found): the prefix of each set, rarest tokens first.
-
-    Tokens are ranked by a counter of fixed size. Any order that all sets share gives
-    the same links; a better one only fewer pairs to verify.
+    """(key, hub, n, d, *ODD, token, asked, found, before): the prefix of each set, rarest tokens first.
+
+    Tokens are ranked by a counter of fixed size over the sets that look others up. Any order that all
+    sets share gives the same links; a better one only fewer pairs to verify. A token that
+    none of those sets has is looked up by nobody and not emitted. ``ODD`` tells of each of 256
+    classes of tokens whether the set's changes hold an odd number: two sets differ in at
+    least as many shingles as there are classes that tell them apart. ``before`` holds the tokens of the
+    prefix before this one, by which a pair is met under its first shared token only; null in
+    prefixes of more than ``MOST_BEFORE`` tokens, whose pairs are met under each.
     """
-    cell = F.col("token").bitwiseAND(F.lit(COUNTER_CELLS - 1))
-    counted = changes.select(F.explode("tokens").alias("token")).groupBy(cell.alias("cell")).agg(F.count("*").alias("n")).collect()
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts = np.zeros(COUNTER_CELLS, _I)
+        for batch in batches:
+            counts += np.bincount(batch.column(0).flatten().to_numpy(zero_copy_only=False) & (COUNTER_CELLS - 1), minlength=COUNTER_CELLS)
+        cell = np.flatnonzero(counts)
+        yield pa.RecordBatch.from_arrays([pa.array(cell), pa.array(counts[cell])], ["cell", "n"])
+
+    far = changes.filter(~F.col("near")).select("tokens")
+    counted = far.mapInArrow(count, "cell long, n long").groupBy("cell").agg(F.sum("n")).collect()
     counts = np.zeros(COUNTER_CELLS, _I)
     for at, n in counted:
         counts[at] = n
@@ -418,25 +472,33 @@ def _rarest_first(changes: DataFrame) -> DataFrame:
         counts = held.value
         for batch in batches:
             keys, hubs, sizes, changed, near, asks, founds, lists = (batch.column(k) for k in range(8))
-            rows, tokens, asked, found = [], [], [], []
+            rows, tokens, asked, found, before = [], [], [], [], []
+            odd = np.zeros((batch.num_rows, ODD_BITS), np.uint8)
             for k in range(batch.num_rows):
                 own = lists[k].values.to_numpy(zero_copy_only=False)
                 f = founds[k].as_py()
                 a = 0 if near[k].as_py() else asks[k].as_py()
-                prefix = own[np.lexsort((own, counts[own & (COUNTER_CELLS - 1)]))[: max(a, f)]]
-                rows.append(np.full(len(prefix), k))
+                odd[k] = np.bincount((own >> 32) & (ODD_BITS - 1), minlength=ODD_BITS) & 1
+                weight = counts[own & (COUNTER_CELLS - 1)]
+                order = np.lexsort((own, weight))[: max(a, f)]
+                place = np.flatnonzero(weight[order])
+                rows.append(np.full(len(place), k))
+                prefix = own[order[place]]
                 tokens.append(prefix)
-                place = np.arange(len(prefix))
+                before += [prefix[:i] for i in range(len(prefix))] if len(prefix) <= MOST_BEFORE else [None] * len(prefix)
                 asked.append(place < a)
                 found.append(place < f)
             at = pa.array(np.concatenate(rows) if rows else np.zeros(0, _I))
+            odd = np.packbits(odd, axis=1).view(_I)
             yield pa.RecordBatch.from_arrays(
-                [c.take(at) for c in (keys, hubs, sizes, changed)]
-                + [pa.array(np.concatenate(x) if x else np.zeros(0, t), y) for x, t, y in ((tokens, _I, pa.int64()), (asked, bool, pa.bool_()), (found, bool, pa.bool_()))],
-                ["key", "hub", "n", "d", "token", "asked", "found"],
+                [c.take(at) for c in (keys, hubs, sizes, changed, *(pa.array(odd[:, k]) for k in range(len(ODD))))]
+                + [pa.array(np.concatenate(x) if x else np.zeros(0, t), y) for x, t, y in ((tokens, _I, pa.int64()), (asked, bool, pa.bool_()), (found, bool, pa.bool_()))]
+                + [pa.array(before, pa.list_(pa.int64()))],
+                ["key", "hub", "n", "d", *ODD, "token", "asked", "found", "before"],
             )
 
-    return changes.mapInArrow(run, "key long, hub long, n int, d int, token long, asked boolean, found boolean")
+    odds = ", ".join(f"{c} long" for c in ODD)
+    return changes.mapInArrow(run, f"key long, hub long, n int, d int, {odds}, token long, asked boolean, found boolean, before array<long>")
 
 
 def _allowed(total, percent: int):
@@ -455,12 +517,14 @@ def _change_pairs(changes: DataFrame, known: DataFrame, percent: int) -> DataFra
     rows = _rarest_first(changes).join(label, F.col("key") == F.col("node"), "left").withColumn("c", F.coalesce("c", "key"))
 
     def side(kept: str, tag: str) -> DataFrame:
-        return rows.filter(kept).select(*[F.col(x).alias(f"{x}_{tag}") for x in ("hub", "key", "n", "d", "c", "token")])
+        return rows.filter(kept).select(*[F.col(x).alias(f"{x}_{tag}") for x in ("hub", "key", "n", "d", "c", "token", "before", *ODD)])
 
     far, held = side("asked", "r"), side("found", "s")
     gap = _allowed(F.col("n_r") + F.col("n_s"), percent)
+    apart = sum(F.bit_count(F.col(f"{c}_r").bitwiseXOR(F.col(f"{c}_s"))) for c in ODD)
     met = far.join(held, (F.col("hub_r") == F.col("hub_s")) & (F.col("token_r") == F.col("token_s"))).filter(
-        (F.col("c_r") != F.col("c_s")) & (F.abs(F.col("d_r") - F.col("d_s")) <= gap)
+        (F.col("c_r") != F.col("c_s")) & (F.abs(F.col("d_r") - F.col("d_s")) <= gap) & (apart <= gap)
+        & ~F.coalesce(F.arrays_overlap("before_r", "before_s"), F.lit(False))
     )
     return met.filter(_fitting(percent, "n_r", "n_s")).select(*_ordered("key_r", "key_s")).distinct()
 

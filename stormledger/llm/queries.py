@@ -53,8 +53,7 @@ def _(spark, d):
 
 @query("op5_bpe")
 def _(spark, d):
-    tokens = bpe.encode(table(spark, d, "documents").select("doc_id", "text"), vocabulary_path())
-    return bpe.decode(tokens, vocabulary_path()).select(
+    return bpe.encode(table(spark, d, "documents").select("doc_id", "text"), vocabulary_path(), decoded=True).select(
         "doc_id", F.size("ids").cast("long").alias("n_tokens"),
         F.sha2(F.array_join("ids", " "), 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"),
     )

@@ -1,16 +1,16 @@
 """Document fingerprints: threshold-scaled sketches of word shingles.
 
-A sketch keeps every shingle hash below a fraction of the hash range. Sketches
-of one fraction merge by union, and the share of one inside another estimates
-containment however unequal the documents are. The fraction is 1 as long as a text
-has fewer than ``2 * LEAST`` shingles, so its likenesses are exact; it halves for each
-doubling beyond that, with about ``LEAST`` kept hashes or more, and is never below
-one in ``2**FRACTION_LOG2``. Two sketches are compared below the smaller of their
-fractions. Equal texts have equal fingerprints.
+A sketch keeps every shingle hash below a fixed fraction of the hash range, one in
+``2**FRACTION_LOG2``, whatever the text's length. Sketches merge by union, and the share of one
+inside another estimates containment however unequal the documents are. An estimate
+from k kept hashes has a standard deviation of at most 1 / (2 * sqrt(k)), so short texts are
+told apart coarsely. The fingerprint also names the fraction and a 64-bit key of the whole
+set, so that equal sets are known; two sketches of different fractions are compared below
+the smaller. Equal texts have equal fingerprints.
 
 Null or empty text: an empty sketch; two empty sketches are alike (1), an empty and
 a filled one are not (0). If neither has a hash below the common fraction, likeness is
-1 for equal sketches and else 0. Rows are ordered by falling doc_id, null last, equal ids by
+1 for equal sets and else 0. Rows are ordered by falling doc_id, null last, equal ids by
 text; repeated rows are documents of their own. An empty table gives an empty one;
 other columns do not matter.
 """
@@ -20,6 +20,7 @@ from __future__ import annotations
 import base64
 import hashlib
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pandas as pd
@@ -27,58 +28,64 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window as W, functions as F, types as T
 from pyspark.sql.functions import pandas_udf
 
-from stormledger.llm.shingles import shingle_sets
+from stormledger.llm.shingles import set_key, shingle_sets
 
-FRACTION_LOG2 = 2  # of the hashes of the longest texts one in 2**2 is kept
-LEAST = 512
+FRACTION_LOG2 = 2  # one hash in 2**2 is kept
 _U = np.uint64
 
 
-def sketch(hashes: np.ndarray, least: int = LEAST, fraction_log2: int = FRACTION_LOG2) -> tuple[int, np.ndarray]:
-    """(fraction as a negative power of two, kept hashes in order) of the sorted distinct shingle hashes."""
-    scale = min(fraction_log2, max(0, (len(hashes) // least).bit_length() - 1))
-    return scale, _below(hashes, scale)
+class Sketch(NamedTuple):
+    scale: int  # the fraction as a negative power of two
+    kept: np.ndarray  # hashes in order
+    key: int | None = None  # of the whole set, 0 for the empty one; unknown after a merge
 
 
-def spell(scale: int, kept: np.ndarray) -> str:
-    """The fingerprint: fraction, then the kept hashes in base 64."""
-    return f"{scale}:" + base64.b64encode(kept.astype("<u8").tobytes()).decode()
+def sketch(hashes: np.ndarray, fraction_log2: int = FRACTION_LOG2) -> Sketch:
+    """The sketch of the sorted distinct shingle hashes."""
+    return Sketch(fraction_log2, _below(hashes, fraction_log2), set_key(hashes))
 
 
-def read(fingerprint: str) -> tuple[int, np.ndarray]:
-    scale, _, body = fingerprint.partition(":")
-    return int(scale), np.frombuffer(base64.b64decode(body), "<u8")
+def spell(one: Sketch) -> str:
+    """The fingerprint: fraction, key of the whole set, then the kept hashes in base 64."""
+    return f"{one.scale}:{'' if one.key is None else one.key}:" + base64.b64encode(one.kept.astype("<u8").tobytes()).decode()
+
+
+def read(fingerprint: str) -> Sketch:
+    scale, key, body = fingerprint.split(":")
+    return Sketch(int(scale), np.frombuffer(base64.b64decode(body), "<u8"), int(key) if key else None)
 
 
 def _below(kept: np.ndarray, scale: int) -> np.ndarray:
     return kept if not scale else kept[: np.searchsorted(kept, _U(1 << (64 - scale)))]
 
 
-def common(a: tuple[int, np.ndarray], b: tuple[int, np.ndarray]) -> tuple[int, int, int]:
+def _same(a: Sketch, b: Sketch) -> bool:
+    return a.key == b.key if a.key is not None and b.key is not None else a.scale == b.scale and np.array_equal(a.kept, b.kept)
+
+
+def common(a: Sketch, b: Sketch) -> tuple[int, int, int]:
     """Sizes of both sketches and of their intersection below the smaller fraction."""
-    scale = max(a[0], b[0])
-    x, y = _below(a[1], scale), _below(b[1], scale)
+    scale = max(a.scale, b.scale)
+    x, y = _below(a.kept, scale), _below(b.kept, scale)
     return len(x), len(y), len(np.intersect1d(x, y, assume_unique=True))
 
 
-def likeness(a: tuple[int, np.ndarray], b: tuple[int, np.ndarray]) -> float:
-    """Estimated Jaccard similarity."""
+def likeness(a: Sketch, b: Sketch) -> float:
+    """Estimated Jaccard similarity; 1 for equal sets."""
     x, y, both = common(a, b)
-    if not x + y:
-        return float(a[0] == b[0] and np.array_equal(a[1], b[1]))
-    return both / (x + y - both)
+    return both / (x + y - both) if x + y and not _same(a, b) else float(_same(a, b))
 
 
-def containment(a: tuple[int, np.ndarray], b: tuple[int, np.ndarray]) -> float:
+def containment(a: Sketch, b: Sketch) -> float:
     """Estimated share of a's shingles that b holds."""
     x, _, both = common(a, b)
-    return both / x if x else float(not len(a[1]))
+    return both / x if x else float(a.key == 0 or _same(a, b))
 
 
-def merge(a: tuple[int, np.ndarray], b: tuple[int, np.ndarray]) -> tuple[int, np.ndarray]:
+def merge(a: Sketch, b: Sketch) -> Sketch:
     """The sketch of the union, of the smaller fraction."""
-    scale = max(a[0], b[0])
-    return scale, np.union1d(_below(a[1], scale), _below(b[1], scale))
+    scale = max(a.scale, b.scale)
+    return Sketch(scale, np.union1d(_below(a.kept, scale), _below(b.kept, scale)))
 
 
 def fingerprints(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -88,7 +95,7 @@ def fingerprints(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Da
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array([spell(*sketch(s)) for s in shingle_sets(batch.column(1))], pa.string())], ["key", "fingerprint"]
+                [batch.column(0), pa.array([spell(sketch(s)) for s in shingle_sets(batch.column(1))], pa.string())], ["key", "fingerprint"]
             )
 
     return slim.mapInArrow(run, f"key {slim.schema['key'].dataType.simpleString()}, fingerprint string").select(F.col("key").alias(key), "fingerprint")
@@ -177,8 +184,8 @@ def _rows(pairs: list) -> pa.RecordBatch:
         pa.array([own[2] for own, _ in pairs], pa.int64()),
         pa.array([len(own[3]) for own, _ in pairs], pa.int64()),
         pa.array([hashlib.sha256(t.encode()).hexdigest() for t in edited]),
-        pa.array([spell(*own[4]) for own, _ in pairs]),
-        pa.array([spell(*s) for s in sketches]),
+        pa.array([spell(own[4]) for own, _ in pairs]),
+        pa.array([spell(s) for s in sketches]),
         pa.array([likeness(own[4], s) for (own, _), s in zip(pairs, sketches, strict=True)]),
         pa.array([likeness(own[4], after[4]) for own, after in pairs]),
     ]

@@ -46,13 +46,35 @@ def test_spans_of_mixed_text_and_edge_cases(spark):
     spans = [(s.lang, s.first_word, s.n_words) for s in by[1].spans]
     assert spans == [("en", 0, 12), ("de", 12, 9), ("ru", 21, 7)]
     assert by[1].lang_pred == "en" and 0 < by[1].score < 1
-    for k in (2, 3, 4, 5):
+    assert by[5].lang_pred in ("de", "en", "ru") and by[5].score == 0.0 and len(by[5].spans) == 1
+    for k in (2, 3, 4):
         assert (by[k].lang_pred, by[k].score, by[k].spans) == ("und", 0.0, [])
     assert sorted(r.lang_pred for r in got if r.doc_id == 6) == ["de", "en"]
     assert by[7].lang_pred == "de" and by[7].score == 1.0 and by[7].spans[0].n_words == len((DE * 2000).split())
     assert L.label(docs.filter("doc_id < 0"), model).count() == 0
 
 
+def test_three_hundred_languages(spark):
+    taught = [(f"{a}{b}{a}{a} {b}{b}{a} {a}{b}", f"l{k:03}") for k, (a, b) in enumerate(itertools.product("bcdfghjklmnpqrstvwxz", "aeiouyäöüéèàùîô"))]
+    model = model_of(spark, taught)
+    assert len(model.languages) == 300
+    rows = [(k, t) for k, (t, _) in enumerate(taught)]
+    got = {r.doc_id: r for r in L.label(spark.createDataFrame(rows, "doc_id long, text string"), model).collect()}
+    assert [got[k].lang_pred for k in range(300)] == [lang for _, lang in taught]
+    assert all(got[k].score == 1.0 for k in range(300))
+    scores = np.random.default_rng(1).normal(size=(40, 300)).astype(np.float32)
+    assert (L.best_paths(scores, np.array([40]), 0.0) == scores.argmax(axis=1)).all()
+
+
+def test_rare_second_script_and_unlearned_scripts(spark):
+    taught = TAUGHT[:3] + [(EN + " " + DE, "xx")] * 300 + [("ξένος λόγος", "xx")]
+    docs = spark.createDataFrame([(1, "ξένος λόγος"), (2, "中文字"), (3, "中文字 the cat")], "doc_id long, text string")
+    got = {r.doc_id: r for r in L.label(docs, model_of(spark, taught)).collect()}
+    assert (got[1].lang_pred, got[1].score) == ("xx", 1.0)
+    assert got[2].lang_pred in ("en", "de", "ru", "xx") and got[2].score == 0
+    assert got[3].lang_pred != "und" and got[3].score < 1
+
+
 def test_nothing_learned(spark):
     model = model_of(spark, [(None, "en"), ("a", None)])
     docs = spark.createDataFrame([(1, "abc"), (2, None)], "doc_id long, text string")

@@ -45,13 +45,34 @@ def test_equals_brute_force(spark, batches, fanout):
     assert sorted((str(r.doc_id), r.n_lines, r.n_dropped, r.text or "") for r in out.collect()) == brute(rows)
 
 
+def batch(spark, doc, text):
+    return L.held_lines(L.hashed_lines(spark.createDataFrame([(doc, text)], "doc_id long, text string")))
+
+
 def test_runs_are_levelled_and_later_batches_are_not_new(spark):
     runs = L.LineRuns(spark, fanout=2)
     for k in range(5):
-        runs.add(L.held_lines(spark.createDataFrame([(9 - k, f"the very same line of text\nline of its own number {k}")], "doc_id long, text string")))
+        runs.add(batch(spark, 9 - k, f"the very same line of text\nline of its own number {k}"))
     assert [len(level) for level in runs.levels] == [1, 0, 1]
-    total = {r.n_docs: r.last_doc for r in L.merged(runs.read()).collect()}
-    assert total[5] == 9 and runs.read().filter("last_doc IS NOT NULL").count() == 6
+    rows = [r for run in runs.tables() for r in run.collect()]
+    assert sorted(r.n_docs for r in rows) == [1, 1, 1, 1, 1, 1, 4] and sum(r.last_doc is not None for r in rows) == 6
+    assert sorted((r.n_docs, r.last_doc) for r in runs.whole().collect()) == [(1, 5), (1, 6), (1, 7), (1, 8), (1, 9), (5, 9)]
+    names = [name for level in runs.levels for name, _ in level]
+    runs.drop()
+    assert names and not any(spark.catalog.tableExists(name) for name in names)
+
+
+def test_runs_are_merged_without_shuffle_or_sort(spark):
+    runs = L.LineRuns(spark, fanout=9)
+    for k in range(3):
+        runs.add(batch(spark, 9 - k, f"the very same line of text\nline of its own number {k}"))
+    held = batch(spark, 1, "the very same line of text")
+    with L.in_order(spark):
+        plan = runs.known(held)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("SortMergeJoin") == 3 and "Bucketed: true" in plan
+    assert plan.count("Exchange") == held._jdf.queryExecution().executedPlan().toString().count("Exchange")
+    assert plan.count("Sort [") == 1  # the batch
+    runs.drop()
 
 
 def test_empty_table_and_untouched_nulls(spark):

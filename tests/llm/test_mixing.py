@@ -57,7 +57,20 @@ def test_targets_and_taken_words(spark, seed):
         assert r.target == pytest.approx(want[r.source]) and 0 <= r.taken <= 3 * r.size
         taken[r.source] = taken.get(r.source, 0) + r.taken
     for s, t in want.items():
-        assert taken[s] == pytest.approx(t, abs=3)
+        assert taken[s] == pytest.approx(t, abs=0.5001)
+
+
+def test_long_tail_of_tiny_sources(spark):
+    """Sources far below a slot reach their targets too, and stay in the mix of documents."""
+    rows = [(i, "w " * 2000, "a") for i in range(5000)]
+    rows += [(10_000 + i, "x " * (1 + i % 30), f"b{i:03}") for i in range(200)] + [(20_000, "y y y", "z")]
+    docs = docs_of(spark, rows)
+    sizes = M.document_sizes(docs)
+    taken, target = {}, {}
+    for r in M.words_taken(sizes, M.source_targets(sizes)).collect():
+        taken[r.source], target[r.source] = taken.get(r.source, 0) + r.taken, r.target
+    assert len(taken) == 202 and all(abs(taken[s] - t) <= 0.5001 for s, t in target.items())
+    assert {r.source for r in M.mixed_documents(docs).select("source").distinct().collect()} == set(taken)
 
 
 def test_schedule_is_spread_evenly_and_blocks_are_equal(spark):
@@ -66,12 +79,12 @@ def test_schedule_is_spread_evenly_and_blocks_are_equal(spark):
     pieces = M.mix(sizes, M.source_targets(sizes)).collect()
     slots = {}
     for p in pieces:
-        slots.setdefault(p.slot, [p.source, 0])[1] += p.n_words
+        slots.setdefault((p.slot, p.source), [p.source, 0])[1] += p.n_words
     order = [slots[k][0] for k in sorted(slots)]
     share = order.count("a") / len(order)
     for n in range(1, len(order) + 1):
         assert abs(order[:n].count("a") - share * n) <= 8
-    assert set(n for _, n in slots.values()) <= {1, 2}
+    assert sum(n > 2 for _, n in slots.values()) <= 2  # a source's last, shortened slot may join one of its own
 
 
 def test_reversed_bits(spark):
