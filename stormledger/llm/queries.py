@@ -46,7 +46,22 @@ def _(spark, d):
     return mixed.select("doc_id", "source", "size", "source_size", "target", "taken")
 
 
-@query("op4_ngram_join")
+_JOIN_SQL = r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+sets AS MATERIALIZED (
+  SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+    ELSE list_distinct([array_to_string(w[p : p + 4], ' ') for p in range(1, len(w) - 3)]) END AS s FROM w),
+each AS MATERIALIZED (SELECT doc_id, len(s) AS n, unnest(s) AS g FROM sets),
+links AS MATERIALIZED (
+  SELECT a.doc_id AS a, b.doc_id AS b FROM each a JOIN each b ON a.g = b.g AND a.doc_id <> b.doc_id
+  GROUP BY a.doc_id, b.doc_id HAVING 100 * count(*) >= 80 * (any_value(a.n) + any_value(b.n) - count(*))),
+reach AS (SELECT a, b FROM links UNION SELECT r.a, l.b FROM reach r JOIN links l ON l.a = r.b)
+SELECT doc_id, CAST(len(s) AS bigint) AS n_shingles, coalesce(least(doc_id, c.least), doc_id) AS component_id
+FROM sets LEFT JOIN (SELECT a, min(b) AS least FROM reach GROUP BY a) c ON c.a = doc_id"""
+
+
+@query("op4_ngram_join", _JOIN_SQL)
 def _(spark, d):
     return ngram_join.component_ids(table(spark, d, "documents"))
 
@@ -187,6 +202,39 @@ def _(spark, d):
     return collocations.top_phrases(table(spark, d, "documents"))
 
 
-@query("op13_spelling_variants")
+# crc32 is folded over the bytes of each run; words one edit apart share what is left without one letter
+_SPELLING_SQL = r"""
+WITH RECURSIVE t AS MATERIALIZED (
+  SELECT list_transform(range(0, 256), lambda i: list_reduce(range(0, 8), lambda c, k:
+    CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, CAST(i AS bigint))) AS crc),
+runs AS (
+  SELECT coalesce(CAST(doc_id AS varchar), '') AS doc, unnest(regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[A-Za-z\x{00C0}-\x{00FF}]+')) AS run FROM documents),
+each AS (SELECT doc, run, count(*) AS n FROM runs WHERE length(run) >= 6 GROUP BY ALL),
+hashed AS (
+  SELECT run, n, xor(list_reduce(flatten(list_transform(string_split(doc || ':' || run, ''), lambda c:
+      CASE WHEN unicode(c) < 128 THEN [unicode(c)] ELSE [192 + (unicode(c) >> 6), 128 + (unicode(c) & 63)] END)),
+    lambda c, b: xor(c >> 8, crc[(xor(c, CAST(b AS bigint)) & 255) + 1]), CAST(4294967295 AS bigint)), 4294967295) AS h FROM each, t),
+words AS MATERIALIZED (
+  SELECT word, CAST(sum(n) AS bigint) AS n FROM (
+    SELECT CASE WHEN h % 199 = 0 THEN substring(run, 1, h % length(run)) || substring(run, h % length(run) + 2) ELSE run END AS word, n FROM hashed)
+  WHERE length(word) >= 6 GROUP BY word HAVING sum(n) >= 5),
+less AS MATERIALIZED (SELECT word, n, i, substring(word, 1, i - 1) || substring(word, i + 1) AS rest FROM (SELECT *, unnest(range(1, length(word) + 1)) AS i FROM words)),
+near AS (
+  SELECT a.word, a.n, b.word AS other, b.n AS m FROM less a JOIN less b ON a.i = b.i AND a.rest = b.rest AND a.word <> b.word
+  UNION SELECT l.word, l.n, w.word, w.n FROM less l JOIN words w ON l.rest = w.word
+  UNION SELECT w.word, w.n, l.word, l.n FROM less l JOIN words w ON l.rest = w.word),
+best AS MATERIALIZED (
+  SELECT word, count(*) AS n_near, CASE WHEN max(m) >= 5 * any_value(n) THEN arg_min(other, {'a': -m, 'b': encode(other)}) END AS form,
+    CASE WHEN max(m) >= 5 * any_value(n) THEN max(m) END AS form_n FROM near GROUP BY word),
+steps(word, last, depth) AS (
+  SELECT word, form, 1 FROM best WHERE form IS NOT NULL
+  UNION ALL SELECT s.word, b.form, depth + 1 FROM steps s JOIN best b ON b.word = s.last WHERE b.form IS NOT NULL),
+ends AS (SELECT word, arg_max(last, depth) AS root FROM steps GROUP BY word)
+SELECT w.word, b.form, coalesce(e.root, w.word) AS root, w.n, coalesce(b.n_near, 0) AS n_near, b.form_n
+FROM words w LEFT JOIN best b USING (word) LEFT JOIN ends e USING (word)"""
+
+
+@query("op13_spelling_variants", _SPELLING_SQL)
 def _(spark, d):
     return spelling.spelling_groups(table(spark, d, "documents"))
