@@ -135,3 +135,18 @@ def test_word_tables_match_as_a_plain_search_does(spark):
     assert sorted(r.i for r in filter_contains_any(df, "t", table).collect()) == want
     kept = filter_contains_any(df, "t", table, keep=F.col("k")).collect()
     assert sorted(r.i for r in kept) == sorted({*want, *range(0, 400, 5)})
+
+
+def test_every_character_folds_in_the_jvm(spark):
+    """The same as normalising in Python, for each character, without rows that wait for a worker."""
+    import sys
+    import unicodedata
+
+    from pyspark.sql import functions as F
+
+    chars = [chr(c) for c in (*range(1, 0xD800), *range(0xE000, sys.maxunicode + 1)) if unicodedata.category(chr(c)) != "Cn"]
+    texts = ["".join(chars[i:i + 400]) for i in range(0, len(chars), 400)] + ["a\u0323\u0307b q\u0307\u0323", "각 ﬁ ½ 가"]
+    df = spark.createDataFrame(list(enumerate(texts)), "i int, t string").withColumn("x", X.fold_unicode(F.col("t")))
+    assert "EvalPython" not in df._jdf.queryExecution().executedPlan().toString()
+    got = {r.i: r.x for r in df.collect()}
+    assert got == {i: "".join(c for c in unicodedata.normalize("NFKD", t) if not unicodedata.combining(c)) for i, t in enumerate(texts)}
