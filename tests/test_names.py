@@ -93,3 +93,27 @@ def test_plain_mentions_join_nothing(spark):
     plan = out._jdf.queryExecution().optimizedPlan().toString()
     parts = plan.split("Join Inner")
     assert len(parts) == 2 and "isnotnull(_plain" in parts[0] and "isnull(_plain" in parts[1]
+
+
+def test_longer_beginnings_are_asked_where_shorter_ones_were_found(monkeypatch):
+    """One pass over the places of a text, whatever the number of bands; no name is missed."""
+    import numpy as np
+
+    rng = random.Random(1)
+    names = ["".join(rng.choices("pqrst", k=k)) for k in (4, 5, 9, 17, 40, 70, 130)]
+    units, offsets = M._points(names)
+    n, runs, sizes = np.diff(offsets), M._Runs(units), {}
+    for k in map(len, names):
+        sizes.setdefault(M._band(k), []).append(k)
+    held, whole = np.zeros(1 << 10, np.int64), runs.hashes(offsets[:-1], n, M._WHOLE)
+    cells = [M._cell(whole, 16, k) for k in range(1, M.WHOLE_CELLS + 1)]
+    cells += [M._cell(runs.hashes(offsets[:-1][n >= b], b, M._LEAD), 16) for b in sizes]
+    for cell in np.concatenate(cells).tolist():
+        held.view(np.uint64)[cell >> 6] |= np.uint64(1 << (cell & 63))
+    text = "".join("".join(rng.choices("abcdefgh", k=3000)) + name for name in names)
+    asked, hashes = [], M._Runs.hashes
+    monkeypatch.setattr(M._Runs, "hashes", lambda self, at, *a: asked.append(len(at)) or hashes(self, at, *a))
+    points, edges = M._points([text])
+    start, size = M._found(points, edges, M.Shard(0, 1, 16, held, sizes))
+    assert {text[i:i + k] for i, k in zip(start.tolist(), size.tolist())} >= set(names)
+    assert sum(asked) < len(text) / 10
