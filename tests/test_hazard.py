@@ -68,3 +68,69 @@ def test_a_label_without_priority_cannot_be_ranked(spark):
     assert got == {1: "tsunami", 2: "other"}
     scores = spark.createDataFrame([(1, "fire (a)", 0.9), (1, "fire (b)", 0.4)], "post_id bigint, label string, score double")
     assert H.score_map(scores).first()["_scores"] == {"fire": 0.4}
+
+
+def by_rule(rows):
+    """Post and base label to the lowest score, null where a label has no other."""
+    out = {}
+    for post, label, score in rows:
+        scores = out.setdefault(post, {})
+        old = scores.setdefault(label.split(" (")[0].lower(), score)
+        if score is not None and (old is None or score < old):
+            scores[label.split(" (")[0].lower()] = score
+    return {post: dict(sorted(scores.items())) for post, scores in out.items()}
+
+
+def test_scores_of_listed_and_other_labels_make_one_map(spark):
+    rows = [
+        (1, "Fire (a)", 0.9), (1, "fire (b)", 0.4), (1, "my label", 0.3), (1, "My label (x)", 0.2), (1, "tsunami", None),
+        (2, "my label", None), (2, "another", 1.0), (None, "fire", 0.5), (None, "wet", 0.1), (None, "fire", 0.3),
+        (3, "typhoon", None), (3, "typhoon (bagyo)", 0.7), (4, "tsunami", -1.0), (4, "earthquake", 0.0), (5, "zzz", 2.0),
+    ]
+    scores = spark.createDataFrame(rows, "post_id bigint, label string, score double").repartition(3)
+    entries = H.score_map(scores).select("post_id", F.map_entries("_scores").alias("entries"))
+    got = [(r.post_id, [tuple(e) for e in r.entries]) for r in entries.collect()]
+    assert len(got) == len(dict(got))
+    assert dict(got) == {post: list(m.items()) for post, m in by_rule(rows).items()}
+    posts = spark.createDataFrame([(i, "quiet") for i in (1, 2, 3, 4, 5, 6, None)], "post_id bigint, text string")
+    maps = {r.post_id: r.label_scores for r in H.classify(posts, scores).collect()}
+    assert maps == {p: by_rule(rows).get(p, {}) if p else {} for p in (1, 2, 3, 4, 5, 6, None)}
+    own = H.classify(posts, scores, priority=["my label", "another", "zzz"]).collect()
+    assert {r.post_id: r.label_scores for r in own} == maps
+
+
+def test_places_of_keywords_follow_the_dictionary(values):
+    words = {"b": ["rock", "big rock", "#rock"], "a": ["wave", "rock", "ock"], "c": ["big", "rock's", "é"], "d": ["wave", "wave"]}
+    texts = ["a big rock, waves", "#rock x#rock big rocks", "rock's ock É", "nothing", "", None]
+    got = [[(h["label"], h["keywords"]) for h in row] for row in values(lambda t: H.keyword_hits(t, words), texts)]
+    for text, hits in zip(texts, got):
+        found = {
+            label: [w for w in dict.fromkeys(ws) if re.search(rf"\b{re.escape(w)}(s|es|ing|ed)?\b", (text or "").lower())]
+            for label, ws in words.items()
+        }
+        assert hits == [(label, ws) for label, ws in found.items() if ws]
+
+
+def rows_shuffled(plan):
+    """Rows written by the exchanges of an executed plan, and its broadcasts."""
+    own = plan.metrics().apply("shuffleRecordsWritten").value() if plan.nodeName() == "Exchange" else 0
+    below = [rows_shuffled(plan.children().apply(i)) for i in range(plan.children().size())]
+    return own + sum(n for n, _ in below), (plan.nodeName() == "BroadcastExchange") + sum(b for _, b in below)
+
+
+def test_the_scores_of_a_post_are_shuffled_as_one_row_and_never_broadcast(spark, tmp_path):
+    n, labels = 2000, ["fire (sunog)", "typhoon", "other (none)", "tsunami", "earthquake", "landslide"]
+    spark.range(n).write.parquet(f"{tmp_path}/posts")
+    ids = spark.read.parquet(f"{tmp_path}/posts").withColumnRenamed("id", "post_id")
+    scores = ids.select("post_id", F.explode(F.array(*[F.lit(x) for x in labels])).alias("label"), F.lit(0.5).alias("score"))
+    adaptive = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        df = H.classify(ids.withColumn("text", F.lit("quiet")), scores)
+        plan = df._jdf.queryExecution().executedPlan()
+        assert df._jdf.queryExecution().toRdd().count() == n
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", adaptive)
+    shuffled, broadcasts = rows_shuffled(plan)
+    # posts, scores by label and scores by post
+    assert shuffled <= 3 * n and broadcasts == 0
