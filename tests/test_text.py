@@ -150,3 +150,19 @@ def test_every_character_folds_in_the_jvm(spark):
     assert "EvalPython" not in df._jdf.queryExecution().executedPlan().toString()
     got = {r.i: r.x for r in df.collect()}
     assert got == {i: "".join(c for c in unicodedata.normalize("NFKD", t) if not unicodedata.combining(c)) for i, t in enumerate(texts)}
+
+
+def test_stages_scan_only_texts_that_hold_what_they_change(spark, values):
+    """Junk runs of 20,000 characters went through every pattern, a replacement for each single space."""
+    rows = spark.createDataFrame([("1:2 " * 500, "a\t b \x1c\u00a0c\u00a0d  e \u3000")], "plain string, mixed string")
+    count = lambda c, pattern: F.regexp_count(c, F.lit(pattern))
+    assert rows.select(count("plain", X.WS_RUN_PATTERN), count("mixed", X.WS_RUN_PATTERN)).first()[:] == (0, 5)
+    assert values(X.collapse_ws, ["1:2 " * 3, "a\t b \x1c\u00a0c\u00a0d  e \u3000", " \n"]) == ["1:2 1:2 1:2", "a b c d e", ""]
+    for stage in (X.strip_urls, X.strip_tags, X.strip_entities, X.blank_separators, X.blank_dot_runs, X.strip_boilerplate):
+        assert "contains(" in rows.select(stage(F.col("plain")))._jdf.queryExecution().optimizedPlan().toString()
+    # runs of folded characters at the ends, beside one another and alone
+    assert values(X.fold_unicode, ["éﬁ", "a\u0301", "é\nﬁ x ½é", "\u0301", "x\n"]) == ["efi", "a", "e\nfi x 1\u20442e", "", "x\n"]
+    assert values(X.strip_urls, ["hhttp://q wwwww.k www. http:// https://x"]) == ["h ww www. http:// "]
+    assert values(X.blank_dot_runs, ["a. .\t.\n.b..c. . ", "..."]) == ["a b..c. . ", " "]
+    assert values(X.blank_separators, ["--a-=*b _ **"]) == ["--a b _ **"]
+    assert values(X.strip_boilerplate, ["Shared A post scommented rREPLIED see  more see mores"]) == [" s r see  more s"]
